@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, packing
 from .common import table
 
 
@@ -21,8 +21,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048, end_id=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe}
+    return {"op2_bpe": op2_bpe, "op4_packing": op4_packing}
 
 
 def oracle_sql() -> dict[str, str]:
