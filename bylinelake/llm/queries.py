@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, packing, simhash
 from .common import table
 
 
@@ -25,8 +25,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048, end_id=1)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op4_packing": op4_packing}
+    return {"op2_bpe": op2_bpe, "op4_packing": op4_packing, "op7_simhash": op7_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
