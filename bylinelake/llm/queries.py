@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash
-from .common import table
+from . import bpe, langid, packing, simhash, toxicity
+from .common import crc_bucket, table
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -21,6 +21,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(docs, ~held_out)
+    return langid.predict(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048, end_id=1)
 
@@ -29,8 +36,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=3)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op4_packing": op4_packing, "op7_simhash": op7_simhash}
+    return {"op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
