@@ -127,3 +127,23 @@ def predict(docs: DataFrame, model: tuple[list[str], object], id_col: str = "doc
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), pa.array([langs[i] if i >= 0 else UNDETERMINED for i in best], pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
 
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], object], text_col: str = "text", accepted: list[str] | None = None, orders=ORDERS, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """docs without the rows whose language is undetermined or, if accepted is given, not in it. All columns stay."""
+    import pyarrow as pa
+
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(parts):
+        import numpy as np
+
+        langs, matrix = shared.value
+        good = np.array([accepted is None or x in accepted for x in langs] + [False])
+        for batch in parts:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            for start, stop in batches(texts):
+                best, _ = classify([t or "" for t in texts.slice(start, stop - start).to_pylist()], langs, matrix, orders, bucket_bits)
+                yield batch.slice(start, stop - start).filter(pa.array(good[best]))
+
+    return docs.mapInArrow(run, docs.schema)

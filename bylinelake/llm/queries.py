@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, simhash, toxicity
+from . import bpe, langid, packing, pii, simhash, toxicity
 from .common import crc_bucket, table
 
 
+#: Stands for a secret that a deployment would pass in.
+PII_KEY = "example pseudonym key"
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -43,8 +47,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY, "text", "n_pseudonyms").select("doc_id", "n_pseudonyms", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity}
+    return {"op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -279,4 +279,4 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     fps = written(fingerprints(docs, size, words, id_col, text_col), "fingerprints")
     out = classes(fps, lambda nodes: links_similar(nodes, words, bits, block_bits))
     gone = out.filter("id <> component").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)

@@ -159,6 +159,16 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     return model | {"a": float(w[0]), "b": max(0.0, float(w[1]))}
 
 
+def _scored(texts: list[str | None], model: dict):
+    """(scores, significant segments) of texts."""
+    import numpy as np
+
+    b, ptr = tokens([t or "" for t in texts], model["bits"])
+    got = [statistic(model["scores"][b[ptr[i] : ptr[i + 1]]], model["lam"], model["k"]) for i in range(len(texts))]
+    x = np.clip([t for t, _ in got], -30, 30)
+    return 1 / (1 + np.exp(-(model["a"] + model["b"] * x))), [found for _, found in got]
+
+
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, passages) a row; passages: array<struct<start, stop, score>> of significant segments by token number.
 
@@ -170,18 +180,27 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts):
-        import numpy as np
-
         m = shared.value
         for batch in parts:
             for start, stop in batches(batch.column("text")):
-                b, ptr = tokens([t or "" for t in batch.column("text").slice(start, stop - start).to_pylist()], m["bits"])
-                x, found = [], []
-                for i in range(len(ptr) - 1):
-                    t, segs = statistic(m["scores"][b[ptr[i] : ptr[i + 1]]], m["lam"], m["k"])
-                    x.append(t)
-                    found.append([{"start": p, "stop": q, "score": s} for p, q, s in segs])
-                p = 1 / (1 + np.exp(-(m["a"] + m["b"] * np.clip(x, -30, 30))))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), pa.array(p, pa.float64()), pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())])))], names=["id", "score", "passages"])
+                p, found = _scored(batch.column("text").slice(start, stop - start).to_pylist(), m)
+                spans = [[{"start": a, "stop": b, "score": s} for a, b, s in x] for x in found]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), pa.array(p, pa.float64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())])))], names=["id", "score", "passages"])
 
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, score double, passages array<struct<start:int,stop:int,score:double>>").withColumnRenamed("id", id_col)
+
+
+def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """docs without the rows that score threshold or more. All columns stay."""
+    import pyarrow as pa
+
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(parts):
+        for batch in parts:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            for start, stop in batches(texts):
+                p, _ = _scored(texts.slice(start, stop - start).to_pylist(), shared.value)
+                yield batch.slice(start, stop - start).filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
