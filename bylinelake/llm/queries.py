@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, pii, simhash, toxicity
+from . import bpe, langid, packing, pii, simhash, toxicity, warc
 from .common import crc_bucket, table
 
 
@@ -21,6 +21,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_bundles(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read_bundles(spark.read.schema(warc.BUNDLE_SCHEMA).parquet(path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
@@ -52,8 +57,23 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii}
+    return {"op1_warc": op1_warc, "op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii}
+
+
+#: DuckDB has SHA-1 as hex digits; every five bits of it are one base-32 digit.
+OP1_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS target, count(*) OVER (PARTITION BY hex, payload_bytes) AS n FROM p)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(CAST(substr(bits, CAST(i * 5 + 1 AS INT), 1) AS INT) * 16 + CAST(substr(bits, CAST(i * 5 + 2 AS INT), 1) AS INT) * 8
+      + CAST(substr(bits, CAST(i * 5 + 3 AS INT), 1) AS INT) * 4 + CAST(substr(bits, CAST(i * 5 + 4 AS INT), 1) AS INT) * 2
+      + CAST(substr(bits, CAST(i * 5 + 5 AS INT), 1) AS INT) + 1 AS INT), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN n > 1 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n > 1 AND page_id <> target THEN target END AS refers_to
+FROM (SELECT *, CAST(unhex(hex) AS BIT)::VARCHAR AS bits FROM g)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": OP1_SQL}
