@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, pii, simhash, toxicity, vptree, warc
+from . import avi, bpe, langid, packing, pii, simhash, toxicity, vptree, warc
 from .common import crc_bucket, table
 
 
@@ -60,8 +60,12 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY, "text", "n_pseudonyms").select("doc_id", "n_pseudonyms", "text")
 
 
+def op10_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return avi.text_media(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op6_vptree": op6_vptree, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii}
+    return {"op1_warc": op1_warc, "op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op6_vptree": op6_vptree, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii, "op10_avi": op10_avi}
 
 
 #: DuckDB has SHA-1 as hex digits; every five bits of it are one base-32 digit.
