@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import avi, bpe, langid, packing, pii, simhash, toxicity, vptree, warc
+from . import avi, bpe, langid, licenses, packing, pii, simhash, toxicity, vptree, warc
 from .common import crc_bucket, table
 
 
@@ -41,6 +41,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048, end_id=1)
 
 
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, factor=1.0)
 
@@ -65,7 +69,7 @@ def op10_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op6_vptree": op6_vptree, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii, "op10_avi": op10_avi}
+    return {"op1_warc": op1_warc, "op2_bpe": op2_bpe, "op3_langid": op3_langid, "op4_packing": op4_packing, "op5_license": op5_license, "op6_vptree": op6_vptree, "op7_simhash": op7_simhash, "op8_toxicity": op8_toxicity, "op9_pii": op9_pii, "op10_avi": op10_avi}
 
 
 #: DuckDB has SHA-1 as hex digits; every five bits of it are one base-32 digit.
@@ -84,4 +88,4 @@ FROM (SELECT *, CAST(unhex(hex) AS BIT)::VARCHAR AS bits FROM g)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL}
+    return {"op1_warc": OP1_SQL, "op5_license": licenses.scan_sql()}
