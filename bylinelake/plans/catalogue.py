@@ -1,4 +1,4 @@
 """All queries over the driver's tables."""
 
-from . import checks, facts  # noqa: F401
+from . import checks, facts, resolution  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -157,10 +157,10 @@ def group_names(spark, d):
     return load(spark, d, "conversations").groupBy("turn").agg(F.count("*").alias("n"), F.count_if(F.col("text").rlike(r"(?i)\b(team|project|committee)\b")).alias("groups"))
 
 
-@query(f"""WITH {S}, r AS (SELECT *, CASE WHEN status = 'P' THEN 'non_research' WHEN institution % 9 = 0 THEN 'no_institution' WHEN author % 11 = 0 THEN 'no_author' END AS reason FROM s)
+@query(f"""WITH {S}, r AS (SELECT *, CASE WHEN status = 'P' THEN 'non_research' WHEN venue = '5-LOW' THEN 'low_venue' WHEN share = 1 THEN 'single_author' END AS reason FROM s)
 SELECT reason, venue, institution, count(*) AS slots, round(sum(share), 4) AS credit FROM r WHERE reason IS NOT NULL GROUP BY GROUPING SETS ((reason), (venue, reason), (reason, institution))""")
 def dropped_reason_sets(spark, d):
-    reasons = [(F.col("status") == "P", "non_research"), (F.col("institution") % 9 == 0, "no_institution"), (F.col("author") % 11 == 0, "no_author")]
+    reasons = [(F.col("status") == "P", "non_research"), (F.col("venue") == "5-LOW", "low_venue"), (F.col("share") == 1, "single_author")]
     return quality.dropped_by_reason(credited(spark, d), reasons, "share", "venue", "institution").withColumn("credit", F.round("credit", 4)).select("reason", "venue", "institution", "slots", "credit")
 
 
@@ -171,10 +171,10 @@ def mismap_example(spark, d):
     return quality.small_tail(rows, "k", "l_quantity", "l_partkey", 15500).withColumn("l_quantity", F.round("l_quantity", 4))
 
 
-@query("""WITH p AS (SELECT s_suppkey AS supp, b AS brand FROM (SELECT s_suppkey FROM supplier WHERE s_suppkey <= 20) CROSS JOIN (SELECT DISTINCT p_brand AS b FROM part))
+@query("""WITH p AS (SELECT s_suppkey AS supp, b AS brand FROM (SELECT s_suppkey FROM supplier) CROSS JOIN (SELECT DISTINCT p_brand AS b FROM part))
 SELECT supp, brand FROM p WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey = supp AND p_brand = brand AND l_quantity >= 45)""")
 def tripwire(spark, d):
-    known = load(spark, d, "supplier").filter("s_suppkey <= 20").select(F.col("s_suppkey").alias("supp")).crossJoin(F.broadcast(load(spark, d, "part").select(F.col("p_brand").alias("brand")).distinct()))
+    known = load(spark, d, "supplier").select(F.col("s_suppkey").alias("supp")).crossJoin(F.broadcast(load(spark, d, "part").select(F.col("p_brand").alias("brand")).distinct()))
     scored = load(spark, d, "lineitem").filter("l_quantity >= 45").join(load(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey")).select(F.col("l_suppkey").alias("supp"), F.col("p_brand").alias("brand"))
     return quality.tripwire(known, scored, ["supp", "brand"])
 
@@ -211,13 +211,12 @@ def top50_movers(spark, d):
     return quality.top_movers(t.filter("year = 2000"), t.filter("year = 1999"), "institution", "rank")
 
 
-@query(f"""WITH {S}, {FACTS}, r AS (SELECT institution, area, year, adjusted_count AS a FROM f WHERE institution % 13 <> 0), c AS (SELECT institution, area, year, adjusted_count + CASE WHEN institution % 10 = 0 THEN 0.5 ELSE 0 END AS a FROM f WHERE institution % 17 <> 0)
+@query(f"""WITH {S}, {FACTS}, r AS (SELECT institution, area, year, adjusted_count AS a FROM f), c AS (SELECT institution, area, year, sum(share) AS a FROM s WHERE status = 'F' GROUP BY ALL)
 SELECT count(CASE WHEN c.institution IS NULL THEN 1 END) AS missing, count(CASE WHEN r.institution IS NULL THEN 1 END) AS extra, 0 AS duplicates, count(CASE WHEN abs(r.a - c.a) > 1e-4 THEN 1 END) AS adjusted_count_mismatches, round(max(abs(r.a - c.a)), 6) AS adjusted_count_largest
 FROM r FULL JOIN c ON r.institution = c.institution AND r.area = c.area AND r.year = c.year""")
 def compare_tables(spark, d):
-    f = area_facts(spark, d)
-    changed = f.withColumn("adjusted_count", F.col("adjusted_count") + F.when(F.col("institution") % 10 == 0, 0.5).otherwise(0.0))
-    out = quality.compare_tables(f.filter("institution % 13 <> 0"), changed.filter("institution % 17 <> 0"), ["institution", "area", "year"], ["adjusted_count"])
+    changed = credit.institution_facts(credited(spark, d).filter("status = 'F'"), ["institution", "area", "year"], ["work"])
+    out = quality.compare_tables(area_facts(spark, d), changed, ["institution", "area", "year"], ["adjusted_count"])
     return out.withColumn("adjusted_count_largest", F.round("adjusted_count_largest", 6))
 
 
@@ -309,12 +308,12 @@ def richest_duplicate(spark, d):
     return merge.best_of(load(spark, d, "documents").select("source", "lang", "doc_id", "n_chars"), ["source", "lang"], [F.col("n_chars"), F.col("doc_id")])
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'fresh' ELSE 'base' END AS origin, CASE WHEN doc_id % 3 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 3 = 0 OR doc_id % 2 = 0")
+@query("SELECT doc_id, CASE WHEN lang IN ('en', 'fr') THEN 'fresh' ELSE 'base' END AS origin, CASE WHEN lang IN ('en', 'fr') THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents WHERE lang IN ('en', 'fr', 'de')")
 def overlay_merge(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "n_chars")
-    base = docs.filter("doc_id % 2 = 0").withColumn("origin", F.lit("base"))
-    fresh = docs.filter("doc_id % 3 = 0").withColumn("n_chars", F.col("n_chars") + 1).withColumn("origin", F.lit("fresh"))
-    return merge.overlay(base, fresh, ["doc_id"])
+    docs = load(spark, d, "documents").select("doc_id", "n_chars", "lang")
+    base = docs.filter("lang IN ('en', 'de')").withColumn("origin", F.lit("base"))
+    fresh = docs.filter("lang IN ('en', 'fr')").withColumn("n_chars", F.col("n_chars") + 1).withColumn("origin", F.lit("fresh"))
+    return merge.overlay(base, fresh, ["doc_id"]).drop("lang")
 
 
 @query("SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, NULL FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -323,29 +322,29 @@ def membership_preserve(spark, d):
     return merge.overlay(docs, load(spark, d, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
-@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey WHEN o_orderkey % 3 = 0 THEN -o_custkey END AS v, CASE WHEN o_orderkey % 2 = 0 THEN 'cheap' WHEN o_orderkey % 3 = 0 THEN 'dear' END AS source FROM orders")
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'O' THEN o_custkey WHEN o_orderpriority = '1-URGENT' THEN -o_custkey END AS v, CASE WHEN o_orderstatus = 'O' THEN 'cheap' WHEN o_orderpriority = '1-URGENT' THEN 'dear' END AS source FROM orders")
 def discovery_cascade(spark, d):
-    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
-    return merge.cascade(o, [("cheap", o.filter("k % 2 = 0")), ("dear", o.filter("k % 3 = 0").withColumn("v", -F.col("v")))], "k", "v")
+    o = load(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"), "o_orderstatus", "o_orderpriority")
+    return merge.cascade(o, [("cheap", o.filter("o_orderstatus = 'O'")), ("dear", o.filter("o_orderpriority = '1-URGENT'").withColumn("v", -F.col("v")))], "k", "v")
 
 
-@query("""WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'xx' ELSE lang END AS lang, n_chars + CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END AS n_chars FROM documents WHERE doc_id % 6 <> 0),
+@query("""WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE source <> 'src1'), b AS (SELECT doc_id, CASE WHEN source = 'src3' THEN 'xx' ELSE lang END AS lang, n_chars + CASE WHEN lang = 'fr' THEN 1 ELSE 0 END AS n_chars FROM documents WHERE source <> 'src2'),
 j AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.doc_id AS x, b.doc_id AS y, a.lang AS l1, b.lang AS l2, a.n_chars AS n1, b.n_chars AS n2 FROM a FULL JOIN b ON a.doc_id = b.doc_id)
 SELECT * FROM (SELECT doc_id, CASE WHEN y IS NULL THEN 'a_only' WHEN x IS NULL THEN 'b_only' ELSE concat_ws(',', CASE WHEN l1 <> l2 THEN 'lang' END, CASE WHEN n1 <> n2 THEN 'n_chars' END) END AS issues FROM j) WHERE issues <> ''""")
 def full_outer_reconcile(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "lang", "n_chars")
-    other = docs.filter("doc_id % 6 <> 0").withColumn("lang", F.when(F.col("doc_id") % 7 == 0, "xx").otherwise(F.col("lang"))).withColumn("n_chars", F.col("n_chars") + F.when(F.col("doc_id") % 11 == 0, 1).otherwise(0))
-    return merge.reconcile_sources(docs.filter("doc_id % 5 <> 0"), other, "doc_id", ["lang", "n_chars"], ("a", "b"))
+    docs = load(spark, d, "documents").select("doc_id", "lang", "n_chars", "source")
+    other = docs.filter("source <> 'src2'").withColumn("n_chars", F.col("n_chars") + F.when(F.col("lang") == "fr", 1).otherwise(0)).withColumn("lang", F.when(F.col("source") == "src3", "xx").otherwise(F.col("lang")))
+    return merge.reconcile_sources(docs.filter("source <> 'src1'"), other, "doc_id", ["lang", "n_chars"], ("a", "b"))
 
 
-@query("""WITH a AS (SELECT s_nationkey AS w, s_suppkey AS l, s_name AS n, substr(s_name, 10, 8) AS t FROM supplier), b AS (SELECT s_nationkey AS w, s_suppkey + 1000 AS r, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS n, substr(s_name, 10, 8) AS t FROM supplier),
+@query("""WITH a AS (SELECT s_nationkey AS w, s_suppkey AS l, s_name AS n, substr(s_name, 10, 8) AS t FROM supplier), b AS (SELECT s_nationkey AS w, s_suppkey + 1000 AS r, CASE WHEN s_acctbal < 2000 THEN NULL ELSE s_name END AS n, substr(s_name, 10, 8) AS t FROM supplier),
 x AS (SELECT w, l, r, 0 AS stage FROM a JOIN b USING (w, n)), y AS (SELECT a.w, l, r, 1 AS stage FROM a JOIN b USING (w, t) WHERE l NOT IN (SELECT l FROM x) AND r NOT IN (SELECT r FROM x))
 SELECT w, l, r, stage FROM (SELECT *, count(*) OVER (PARTITION BY w, l) AS c1, count(*) OVER (PARTITION BY w, r) AS c2 FROM (SELECT * FROM x UNION ALL SELECT * FROM y)) WHERE c1 = 1 AND c2 = 1""")
 def staged_match(spark, d):
     s = load(spark, d, "supplier")
     tail = F.substring("s_name", 10, 8).alias("t")
     a = s.select(F.col("s_nationkey").alias("w"), F.col("s_suppkey").alias("l"), F.col("s_name").alias("n"), tail)
-    b = s.select(F.col("s_nationkey").alias("w"), (F.col("s_suppkey") + 1000).alias("r"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name")).alias("n"), tail)
+    b = s.select(F.col("s_nationkey").alias("w"), (F.col("s_suppkey") + 1000).alias("r"), F.when(F.col("s_acctbal") >= 2000, F.col("s_name")).alias("n"), tail)
     return merge.unique_matches(a, b, "l", "r", [["n"], ["t"]], ["w"])
 
 
@@ -361,8 +360,8 @@ def dedup_type_owner(spark, d):
     return credit.owned_research(e, ["user_id", "day"], ["ts", "event_id"], "event_type", non_research=("click",)).select("event_id", "user_id", "event_type")
 
 
-@query("""WITH x AS (SELECT * FROM documents WHERE NOT (source = 'src1' AND doc_id % 2 = 0)), k AS (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS i FROM x) SELECT doc_id, source FROM k WHERE i = 1 AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = k.text)""")
+@query("""WITH x AS (SELECT * FROM documents WHERE NOT (source = 'src1' AND lang = 'fr')), k AS (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS i FROM x) SELECT doc_id, source FROM k WHERE i = 1 AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text = k.text)""")
 def exclude_venue_keys(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "source", "text")
-    out = docs.filter("source = 'src1' AND doc_id % 2 = 0").select("source", "doc_id")
+    docs = load(spark, d, "documents").select("doc_id", "source", "text", "lang")
+    out = docs.filter("source = 'src1' AND lang = 'fr'").select("source", "doc_id")
     return credit.owned_research(docs.withColumn("type", F.lit("article")), ["source", "text"], ["doc_id"], "type", out, load(spark, d, "benchmark").select("text"), ["source", "doc_id"]).select("doc_id", "source")

@@ -87,15 +87,15 @@ def credit_multi_inst(spark, d):
     return _rounded(credit.institution_facts(credit.array_shares(rows, "i", "n_slots"), ["institution", "area", "year"], ["work"]), "adjusted_count")
 
 
-@query(f"""WITH {S}, x AS (SELECT s.*, s_name, CASE WHEN institution % 4 <> 0 THEN institution END AS own FROM s JOIN supplier ON s_suppkey = institution),
-m AS (SELECT s_name AS raw, s_suppkey + 500000 AS mapped FROM supplier WHERE s_suppkey % 8 = 0)
+@query(f"""WITH {S}, x AS (SELECT s.*, s_name, CASE WHEN s_acctbal >= 0 THEN institution END AS own FROM s JOIN supplier ON s_suppkey = institution),
+m AS (SELECT s_name AS raw, s_suppkey + 500000 AS mapped FROM supplier WHERE s_acctbal > -500)
 SELECT coalesce(own, mapped) AS institution, area, year, count(DISTINCT work) AS pub_count, round(sum(share), 6) AS adjusted_count FROM x LEFT JOIN m ON raw = s_name WHERE coalesce(own, mapped) IS NOT NULL GROUP BY ALL""")
 def credit_raw_fallback(spark, d):
     """Slots without institution fall back to what their raw string maps to; unmapped parts are lost."""
-    sup = load(spark, d, "supplier").select("s_suppkey", "s_name")
-    mapping = sup.filter(F.col("s_suppkey") % 8 == 0).select(F.col("s_name").alias("raw"), (F.col("s_suppkey") + 500000).alias("mapped"))
+    sup = load(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    mapping = sup.filter("s_acctbal > -500").select(F.col("s_name").alias("raw"), (F.col("s_suppkey") + 500000).alias("mapped"))
     rows = slots(spark, d).join(sup, F.col("institution") == F.col("s_suppkey")).join(mapping, F.col("raw") == F.col("s_name"), "left")
-    own = F.when(F.col("institution") % 4 != 0, F.col("institution"))
+    own = F.when(F.col("s_acctbal") >= 0, F.col("institution"))
     rows = rows.withColumn("i", F.array(F.coalesce(own, "mapped"))).drop("institution")
     return _rounded(credit.institution_facts(credit.array_shares(rows, "i", "n_slots"), ["institution", "area", "year"], ["work"]), "adjusted_count")
 
