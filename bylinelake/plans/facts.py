@@ -288,3 +288,42 @@ def top_rows(spark, d):
     f = _rounded(area_facts(spark, d), "adjusted_count", digits=4)
     n = F.row_number().over(Window.partitionBy("area").orderBy(F.desc("adjusted_count"), "institution", "year"))
     return f.select("area", "institution", "year", F.col("pub_count").alias("p"), F.col("adjusted_count").alias("a"), n.cast("long").alias("n")).filter("n <= 15")
+
+
+@query(f"WITH {S}, {INST}, {FACTS} SELECT area, institution, year, '{{\"i\":' || institution || ',\"n\":\"' || name || '\",\"y\":' || year || ',\"p\":' || pub_count || '}}' AS row FROM f JOIN inst USING (institution)")
+def json_serving(spark, d):
+    """Short JSON rows; credit is left out here, since engines print doubles differently."""
+    f = area_facts(spark, d).join(institutions(spark, d).select("institution", "name"), "institution")
+    return f.select("area", "institution", "year", F.to_json(F.struct(F.col("institution").alias("i"), F.col("name").alias("n"), F.col("year").alias("y"), F.col("pub_count").alias("p"))).alias("row"))
+
+
+@query(f"WITH {S}, {INST}, t AS (SELECT institution, name, country, sum(share) AS total FROM s JOIN inst USING (institution) GROUP BY ALL) SELECT institution, name || ',' || country || ',' || printf('%.4f', total) AS line FROM t")
+def export_rows(spark, d):
+    from ..functions.identity import csv_field
+
+    t = credited(spark, d).groupBy("institution").agg(F.sum("share").alias("total")).join(institutions(spark, d), "institution")
+    return t.select("institution", F.concat_ws(",", csv_field(F.col("name")), csv_field(F.col("country")), F.format_string("%.4f", "total")).alias("line"))
+
+
+@query("SELECT c_mktsegment AS area, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS venues FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+def coverage_listing(spark, d):
+    return load(spark, d, "orders").join(load(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).groupBy(F.col("c_mktsegment").alias("area")).agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ", ").alias("venues"))
+
+
+@query("SELECT n_name AS country, count(*) AS institutions, row_number() OVER (ORDER BY count(*) DESC, n_name) AS position FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name ORDER BY position LIMIT 20")
+def top_countries(spark, d):
+    from pyspark.sql import Window
+
+    g = load(spark, d, "supplier").join(F.broadcast(load(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("country")).agg(F.count("*").alias("institutions"))
+    return g.withColumn("position", F.row_number().over(Window.orderBy(F.desc("institutions"), "country")).cast("long")).filter("position <= 20")
+
+
+@query("SELECT source, mode(lang) AS lang, count(DISTINCT lang) AS langs FROM documents GROUP BY source")
+def modal_title(spark, d):
+    return load(spark, d, "documents").groupBy("source").agg(F.mode("lang", deterministic=True).alias("lang"), F.count_distinct("lang").alias("langs"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS largest, min(CAST(ts AS DATE))::VARCHAR AS first_day FROM events GROUP BY CUBE (user_id, event_type)")
+def cube_events(spark, d):
+    e = load(spark, d, "events")
+    return e.cube("user_id", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.max("value").alias("largest"), F.min(F.to_date("ts")).cast("string").alias("first_day"))
