@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _null_if_empty(c: Column) -> Column:
@@ -67,7 +68,7 @@ def author_slug(given: Column, family: Column) -> Column:
     return F.coalesce(_null_if_empty(slug(fold(F.concat_ws(" ", given, family)))), F.lit("unknown"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(text):
     """Decomposed, without combining marks, case-folded, words of letters and digits joined by one blank."""
     import re
@@ -82,7 +83,7 @@ def fold(text):
     return text.map(one, na_action=None).where(text.notna(), None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(text):
     """HTML entities decoded until nothing changes, three times at most."""
     import html
@@ -162,7 +163,7 @@ def clamp_years(first: Column, last: Column, low: Column, high: Column) -> tuple
 
 def parse_program_authors(text: Column) -> Column:
     """'Name, Affiliation; Name' to array<struct<name, affiliation>>; a part without a comma goes to the previous author."""
-    parts = F.filter(F.transform(F.split(text, ";"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x != "")
     empty = F.array().cast("array<struct<name:string,affiliation:string>>")
 
     def add(acc: Column, part: Column) -> Column:

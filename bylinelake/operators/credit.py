@@ -55,7 +55,7 @@ def with_fallback(slots: DataFrame, mapping: DataFrame) -> DataFrame:
     hits = first_owner(raws.join(usable, "raw").select("work_uid", "slot", "pos", "hit"), ["work_uid", "slot", "hit.id"], ["pos"])
     lists = hits.groupBy("work_uid", "slot").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hit"))), lambda x: x["hit"]).alias("mapped"))
     own = F.transform("institutions", lambda x: F.struct(x["id"].alias("id"), x["display_name"].alias("display_name"), x["type"].alias("type")))
-    return slots.join(lists, ["work_uid", "slot"], "left").withColumn("credited", F.when(bare, "mapped").otherwise(own)).drop("mapped")
+    return slots.join(lists, ["work_uid", "slot"], "left").withColumn("credited", F.when(bare, F.col("mapped")).otherwise(own)).drop("mapped")
 
 
 def alias_closure(aliases: DataFrame, depth: int = 32) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, stages: list[list[str]], within: list[str]) -> DataFrame:
@@ -81,7 +82,7 @@ def positional_fill(ours: Column, theirs: Column, agree, empty) -> Column:
     return F.when(F.coalesce(fits, F.lit(False)), F.zip_with(ours, theirs, lambda a, b: F.when(empty(a), b).otherwise(a))).otherwise(ours)
 
 
-@F.pandas_udf("array<struct<a:int,b:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])))
 def align(left, right):
     """Longest common subsequence of two arrays of names: matched places, at most 250,000 cells (else none)."""
     import pandas as pd
@@ -108,7 +109,7 @@ def align(left, right):
     return pd.Series([one(x, y) for x, y in zip(left, right)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(left, right):
     """Similarity of two strings as twice the matched characters over all; 0 if one is null."""
     import pandas as pd

@@ -73,7 +73,7 @@ def parse_bibtex(text: str) -> list[dict]:
                 c = rest[stop]
                 depth += (c == "{") - (c == "}")
                 stop += 1
-                if depth == 0 and (c == "}" or quoted and c == '"' and stop - 1 > k or not quoted and c == ","):
+                if depth == 0 and (c == '"' and stop - 1 > k if quoted else c in "},"):
                     break
             value = rest[k:stop].strip().rstrip(",").strip()
             if value[:1] + value[-1:] in ("{}", '""'):
