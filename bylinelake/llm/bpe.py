@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 LONG_WORD = 512
 LEAF = 256
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]")
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 

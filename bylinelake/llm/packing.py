@@ -113,7 +113,7 @@ def _cut_documents(docs: DataFrame, id_col: str, text_col: str, tokenizer: str,
         enc, pid, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (window // resolution + 2)
         tail = np.array([end_id], enc.dtype)
         for batch in parts:
-            for start, stop in batches(batch.column("text"), 1 << 23):
+            for start, stop in batches(batch.column("text"), 1 << 22):
                 names, rows = batch.column("id").slice(start, stop - start).to_pylist(), []
                 for doc, text in zip(names, batch.column("text").slice(start, stop - start)):
                     ids = np.concatenate([enc.encode(text.as_py() or ""), tail])
