@@ -18,6 +18,8 @@ from .common import salted_lookup, written
 
 #: Runs of up to so many fingerprints are compared pairwise in one task.
 RUN = 4096
+#: With so many bits outside the mask a run has at most 2 ** FEW_BITS fingerprints, all different, and is never split.
+FEW_BITS = 12
 
 
 def shingle_hashes(text: str, size: int):
@@ -166,7 +168,7 @@ def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool) -> DataF
             got_a.append(np.maximum(node[p], node[p + 1])[near])
             got_b.append(np.minimum(node[p], node[p + 1])[near])
             for s, e in zip(starts[many & ~pair].tolist(), stops[many & ~pair].tolist()):
-                if e - s > RUN and exact:
+                if exact and e - s > RUN and 64 - (int(mask[s]) & (1 << 64) - 1).bit_count() > FEW_BITS:
                     hot.append(np.arange(s, e))
                     continue
                 heads = np.empty(0, np.int64)
@@ -190,8 +192,8 @@ def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool) -> DataF
 def links_within(nodes: DataFrame, max_bits: int, shared: int = 3) -> DataFrame:
     """Links (a, b) between 64-bit fingerprints within max_bits, exactly; nodes: (node long, fp array<long> of one).
 
-    Runs longer than RUN go on to finer masks (of the bits outside the mask, max_bits + 1 parts); with few bits left a run
-    cannot be longer than RUN, since its fingerprints differ, so this ends and loses nothing.
+    Runs longer than RUN go on to finer masks (of the bits outside the mask, max_bits + 1 parts) until FEW_BITS are left;
+    close fingerprints agree on one of the parts, so this ends and loses nothing.
     """
     spark = nodes.sparkSession
     masks, found = pigeonhole_masks(max_bits, shared), []
