@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -49,6 +50,18 @@ def batches(column, most: int = 1 << 20):
         start, base = stop, int(sizes[stop - 1])
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Smaller Arrow batches for jobs that run inside; the session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most, int(before) if int(before) > 0 else most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def salted_lookup(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 64) -> DataFrame:
     """Left join of `left` with `right` (one row a key) that spreads a hot key of `left` over `salts` tasks.
 

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import salted_lookup, written
+from .common import arrow_rows, salted_lookup, written
 
 #: Runs of up to so many fingerprints are compared pairwise in one task.
 RUN = 4096
@@ -122,10 +122,27 @@ def _forest(fps, nodes, max_bits: int):
     return nodes[order][~first], head[~first]
 
 
-def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool) -> DataFrame:
+def _nearest(fps, nodes, max_bits: int, most: int):
+    """Links (larger node, smaller node) of each row with the `most` nearest rows within max_bits."""
+    import numpy as np
+
+    a, b = [], []
+    for i in range(len(nodes)):
+        d = np.bitwise_count(fps ^ fps[i]).sum(axis=1, dtype=np.int64)
+        d[i] = max_bits + 1
+        near = np.flatnonzero(d <= max_bits)
+        if len(near) > most:
+            near = near[np.argsort(d[near], kind="stable")[:most]]
+        a.append(np.maximum(nodes[near], nodes[i]))
+        b.append(np.minimum(nodes[near], nodes[i]))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool, most: int = 4) -> DataFrame:
     """(a, b, fp, mask): links of each (mask, key) run, or the rows of a run longer than RUN as fp and mask with b null.
 
-    Without `exact`, a longer run is taken in chunks, each after the first row of every link class found so far.
+    Exact links are a forest that connects as all pairs would. Others are each row's `most` nearest, for a later check; there
+    a longer run is taken in chunks, each after rows of earlier ones that are not the larger end of a link.
     """
     import pyarrow as pa
 
@@ -135,10 +152,7 @@ def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool) -> DataF
         import numpy as np
 
         def links(fps, nodes):
-            if words == 1 or len(nodes) > 2:
-                return _forest(fps, nodes, max_bits)
-            near = np.bitwise_count(fps[0] ^ fps[1]).sum(dtype=np.int64) <= max_bits
-            return (np.array([nodes.max()]), np.array([nodes.min()])) if near and nodes[0] != nodes[1] else (nodes[:0], nodes[:0])
+            return _forest(fps, nodes, max_bits) if exact else _nearest(fps, nodes, max_bits, most)
 
         carry = None
         for batch in itertools.chain(parts, [None]):
@@ -267,18 +281,52 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, id_col: s
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex(F.col("fp")[0])), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def similar_bits(similarity: float, bits: int) -> int:
-    """The differing bits to expect of two texts whose shingle sets have this Jaccard similarity."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def similar_bits(similarity: float, bits: int, deviations: float = 0.0) -> int:
+    """The differing bits to expect of two texts whose shingle sets have this Jaccard similarity, and so many standard
+    deviations more."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, words: int = 8, block_bits: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def verified(edges: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The links whose texts have the Jaccard similarity or more on sets of `size`-word shingles.
+
+    Of rows that repeat an id, the least text stands for it.
+    """
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    texts = written(texts, "texts")
+    both = salted_lookup(edges, texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a", "b")
+    both = salted_lookup(both, texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b", "a")
+
+    def run(parts):
+        import pyarrow as pa
+
+        for batch in parts:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                s, t = (set(shingle_hashes(v.as_py(), size).tolist()) for v in (x, y))
+                keep.append(len(s & t) >= similarity * len(s | t))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, words: int = 8, block_bits: int = 16, deviations: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose class (links at `similarity` or more) holds a smaller id; rows of one id stay together.
 
-    Rows with a null id always stay. Texts without words are copies of one another.
+    Candidates share a block and are within the bits expected at that similarity and `deviations` standard deviations more;
+    each row's nearest candidates are then checked on their shingle sets. Rows with a null id always stay. Texts without
+    words are copies of one another.
     """
-    bits = similar_bits(similarity, 64 * words)
+    bits = similar_bits(similarity, 64 * words, deviations)
     fps = written(fingerprints(docs, size, words, id_col, text_col), "fingerprints")
-    out = classes(fps, lambda nodes: links_similar(nodes, words, bits, block_bits))
+
+    def link(nodes: DataFrame) -> DataFrame:
+        near = written(links_similar(nodes, words, bits, block_bits).filter("a <> b").distinct(), "near")
+        return verified(near, docs, size, similarity, id_col, text_col)
+
+    with arrow_rows(docs.sparkSession, 500):  # rows with two whole texts; classes() runs the links
+        out = classes(fps, link)
     gone = out.filter("id <> component").select(F.col("id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
