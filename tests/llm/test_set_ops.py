@@ -182,6 +182,27 @@ def test_components_of_paths(spark):
     assert {v: got.get(v, v) for v in order} == want
 
 
+def jaccard(a, b):
+    s, t = (set(simhash.shingle_hashes(x, 5).tolist()) for x in (a, b))
+    return len(s & t) / max(1, len(s | t))
+
+
+def test_near_copies_against_brute_force(spark, docs):
+    """Over edits from one word to one in thirty: what goes has a similar text, and nearly all similar texts go."""
+    rng, texts = random.Random(12), []
+    for i in range(60):
+        base = [f"v{rng.randrange(3000)}" for _ in range(rng.randrange(40, 400))]
+        copy = list(base)
+        for _ in range(1 + len(base) * (i % 4) // 90):
+            copy[rng.randrange(len(copy))] = "changed"
+        texts += [" ".join(base), " ".join(copy)]
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs(texts)).collect()}
+    close = [i for i in range(0, 120, 2) if jaccard(texts[i], texts[i + 1]) >= 0.8]
+    gone = set(range(120)) - kept
+    assert gone <= {i + 1 for i in close} and len(close) > 20
+    assert len(gone) >= 0.9 * len(close)
+
+
 def test_similar_texts_drop_to_one(spark, docs):
     rng = random.Random(9)
     base = [[f"u{rng.randrange(5000)}" for _ in range(400)] for _ in range(40)]
