@@ -147,3 +147,59 @@ def weighted_sample(rows: DataFrame, key: str, weight: str, draws: int, seed: in
     chunk = F.broadcast(sums.select("__p", F.col("__base").alias("__b"), F.col("__s").alias("__w")))
     placed = points.join(chunk, (F.col("__x") >= F.col("__b")) & (F.col("__x") < F.col("__b") + F.col("__w")))
     return placed.join(line, ["__p"]).filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") < F.col("__hi"))).select("draw", key, weight)
+
+
+def container_matches(found: Column, scope: Column) -> Column:
+    """Container titles are the same, or of one family with a volume number."""
+    from ..functions.identity import words_key
+
+    family = lambda c: F.trim(F.regexp_replace(words_key(c), r"\bvolume \w+\b", " "))
+    return (words_key(found) == words_key(scope)) | (words_key(found).rlike(r"\bvolume \w+") & (F.regexp_replace(family(found), r"\s+", " ") == F.regexp_replace(family(scope), r"\s+", " ")))
+
+
+def strings_agree(a: Column, b: Column) -> Column:
+    """Two affiliation strings share a distinctive word."""
+    from .resolve import content_tokens
+
+    return F.arrays_overlap(content_tokens(a), content_tokens(b))
+
+
+def title_prefix_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, title: str, size: int = 35, least: int = 20) -> DataFrame:
+    """Pairs whose normalised titles are equal or where one holds the other's first `size` characters (at least `least`
+    long). Blocked on each word of a title's prefix, so it is an equi-join and no nested loop."""
+    from ..functions.identity import words_key
+
+    def parts(df: DataFrame, i: str, tag: str) -> DataFrame:
+        t = df.select(F.col(i).alias(f"{tag}_id"), words_key(F.col(title)).alias(f"{tag}_t"))
+        return t.withColumn(f"{tag}_p", F.substring(f"{tag}_t", 1, size)).filter(F.length(f"{tag}_t") > 0)
+
+    a, b = parts(left, left_id, "a"), parts(right, right_id, "b")
+    words = lambda c: F.explode(F.array_distinct(F.split(c, " ")))
+
+    def holds(outer: DataFrame, inner: DataFrame, o: str, i: str) -> DataFrame:
+        # the first word of the prefix must stand in the other title as the end of a word at least; whole words block it
+        x = outer.withColumn("w", words(F.col(f"{o}_t")))
+        y = inner.withColumn("w", F.get(F.split(f"{i}_p", " "), F.lit(0))).filter(F.length(f"{i}_p") >= least)
+        return x.join(y, "w").filter(F.contains(F.col(f"{o}_t"), F.col(f"{i}_p"))).select("a_id", "b_id")
+
+    equal = a.join(b, a["a_t"] == b["b_t"]).select("a_id", "b_id")
+    out = equal.unionByName(holds(a, b, "a", "b")).unionByName(holds(b, a, "b", "a")).distinct()
+    return out.withColumnsRenamed({"a_id": left_id, "b_id": right_id})
+
+
+def aligned_enrichment(base: DataFrame, fresh: DataFrame, key: str, byline: str, coverage: str) -> DataFrame:
+    """Base rows take the byline of a fresh row with the same names in the same order, if that does not lower coverage; of
+    several, the one of most coverage. byline: array<struct<name,...>>; coverage: a column of both."""
+    names = lambda c: F.transform(c, lambda x: F.lower(x["name"]))
+    best = best_of(fresh.select(key, F.col(byline).alias("__b"), F.col(coverage).alias("__c")).withColumn("__n", F.array_join(names(F.col("__b")), "|")), [key, "__n"], [F.col("__c")])
+    own = base.withColumn("__n", F.array_join(names(F.col(byline)), "|"))
+    j = own.join(best, [key, "__n"], "left")
+    better = F.col("__c").isNotNull() & (F.col("__c") >= F.col(coverage))
+    return j.withColumn(byline, F.when(better, F.col("__b")).otherwise(F.col(byline))).withColumn(coverage, F.when(better, F.col("__c")).otherwise(F.col(coverage))).drop("__b", "__c", "__n")
+
+
+def date_window(kind: Column, year: Column, grace_months: int = 3) -> Column:
+    """First and last day to look for an edition: its year; for proceedings from the year before, and with some grace after."""
+    first = F.when(kind == "journal", F.make_date(year, F.lit(1), F.lit(1))).otherwise(F.make_date(year - 1, F.lit(10), F.lit(1)))
+    last = F.when(kind == "journal", F.make_date(year, F.lit(12), F.lit(31))).otherwise(F.add_months(F.make_date(year, F.lit(12), F.lit(31)), grace_months))
+    return F.struct(first.alias("first"), last.alias("last"))

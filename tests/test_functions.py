@@ -138,3 +138,32 @@ def test_replace_and_inventory(spark, tmp_path):
     assert files.changed_files(now, now).count() == 0
     f = now.withColumn("venue", F.lit("v"))
     assert ingest.stale_partitions(ingest.fingerprints(f, "venue", "a"), ingest.fingerprints(f, "venue", "b"), "venue").count() == 1
+
+
+def test_biology_dialect(spark):
+    from bylinelake.operators import biology
+
+    rows = [("article", "10.1/x", "science", 0, "1", "5"), ("article", "10.1/x", "science", 5, "e12", "e12"), ("article", "10.1/x", "science", 5, "3", "4"), ("note", "d", "x", 9, "1", "9"), ("Note", "d", "x", 9, "1", "9"), ("article", "10.1038/d41586", "nature", 50, "1", "9"), ("article", "d", "cell", 3, "7", "7"), ("article", "d", "cell", 3, "7", "7.e1"), (None, None, "y", None, None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, k string, d string, v string, r int, a string, b string")
+    got = df.select("i", biology.research_article(*(F.col(c) for c in "kdvrab")).alias("x")).orderBy("i").collect()
+    assert [r["x"] for r in got] == [False, True, False, False, True, False, False, True, True]
+    inst = "institutions array<struct<id:string,name:string,type:string,country:string>>"
+    slots = spark.createDataFrame([(1, "v", 2020, 2, 0, [("H", "Hosp", "healthcare", "US"), ("C", "Co", "company", "US")]), (1, "v", 2020, 2, 1, [("U", "Uni", "education", "US")]), (2, "z", 2020, 1, 0, [("U", "Uni", "education", "US")])], f"work int, venue string, year int, n_slots int, slot int, {inst}")
+    areas = spark.createDataFrame([("v", "x", 0), ("v", "y", 1)], "venue string, area string, position int")
+    rollup = spark.createDataFrame([("H", "U", "Uni")], "child string, parent string, parent_name string")
+    out = biology.credit(slots, areas, rollup)
+    assert sorted(map(tuple, out["area"].collect())) == [("U", "elite_bio", 2020, 1, 1.0), ("U", "x", 2020, 2, 1.0), ("U", "y", 2020, 2, 1.0)]
+    assert sorted(map(tuple, out["venue"].collect())) == [("U", "elite_bio", "z", 2020, 1, 1.0), ("U", "x", "v", 2020, 2, 1.0)]
+    assert {r["id"] for r in biology.credit(slots, areas, rollup, edu_only=False)["area"].collect()} == {"U", "C"}
+
+
+def test_title_prefixes_and_enrichment(spark):
+    a = spark.createDataFrame([(1, "A very long title about circuits and systems for people"), (2, "Short")], "l int, title string")
+    b = spark.createDataFrame([(7, "Session 3: A very long title about circuits and systems of others"), (8, "short"), (9, "Shorter")], "r int, title string")
+    assert sorted((x["l"], x["r"]) for x in merge.title_prefix_matches(a, b, "l", "r", "title").collect()) == [(1, 7), (2, 8)]
+    t = "k int, byline array<struct<name:string,aff:string>>, coverage double"
+    base = spark.createDataFrame([(1, [("Ann", None)], 0.0), (2, [("Bo", "x")], 1.0)], t)
+    fresh = spark.createDataFrame([(1, [("ANN", "MIT")], 1.0), (1, [("Zed", "q")], 1.0), (2, [("Bo", None)], 0.0)], t)
+    assert {r["k"]: r["byline"][0]["aff"] for r in merge.aligned_enrichment(base, fresh, "k", "byline", "coverage").collect()} == {1: "MIT", 2: "x"}
+    assert one(spark, merge.container_matches(F.col("a"), F.lit("Proc. of X")), a=("Proc of X, Volume 3", "string")) is True
+    assert one(spark, merge.strings_agree(F.col("a"), F.lit("University of Leeds, UK")), a=("Leeds Univ", "string")) is True
