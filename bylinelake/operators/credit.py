@@ -63,8 +63,6 @@ def alias_closure(aliases: DataFrame, depth: int = 32) -> DataFrame:
 
     A cycle is an error. Each round doubles the length of the chains followed.
     """
-    from pyspark.sql.utils import AnalysisException  # noqa: F401
-
     now = aliases.select("duplicate_id", "canonical_id", F.nullif(F.col("canonical_name"), F.lit("")).alias("canonical_name"))
     for _ in range(depth):
         nxt = now.select(F.col("duplicate_id").alias("canonical_id"), F.col("canonical_id").alias("__to"), F.col("canonical_name").alias("__name"))
