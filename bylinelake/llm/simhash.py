@@ -4,6 +4,9 @@ A fingerprint bit is set if it is set in over half of the hashes of a document's
 share all bits of one key mask at least, so equal (mask, key) rows meet in one run of a sorted partition, where they are
 verified and only a forest of links leaves the task. Every table is by distinct fingerprint, so copies cost nothing, and
 the links never meet on the driver.
+
+drop_near_duplicates goes by the Jaccard similarity of shingle sets, exactly: sets that are similar share one of their
+rarest shingles (prefix filter), pairs of equal shingles are sifted by a bound that loses none, and what is left is checked.
 """
 
 from __future__ import annotations
@@ -18,6 +21,10 @@ from .common import arrow_rows, salted_lookup, written
 
 #: Runs of up to so many fingerprints are compared pairwise in one task.
 RUN = 4096
+#: Rows of least hash whose shingles are counted to order shingles by rarity. Any order gives the same result.
+ORDER_ROWS = 10_000
+#: 64-bit words of a set's parity sketch.
+SKETCH = 8
 #: With so many bits outside the mask a run has at most 2 ** FEW_BITS fingerprints, all different, and is never split.
 FEW_BITS = 12
 
@@ -122,38 +129,18 @@ def _forest(fps, nodes, max_bits: int):
     return nodes[order][~first], head[~first]
 
 
-def _nearest(fps, nodes, max_bits: int, most: int):
-    """Links (larger node, smaller node) of each row with the `most` nearest rows within max_bits."""
-    import numpy as np
-
-    a, b = [], []
-    for i in range(len(nodes)):
-        d = np.bitwise_count(fps ^ fps[i]).sum(axis=1, dtype=np.int64)
-        d[i] = max_bits + 1
-        near = np.flatnonzero(d <= max_bits)
-        if len(near) > most:
-            near = near[np.argsort(d[near], kind="stable")[:most]]
-        a.append(np.maximum(nodes[near], nodes[i]))
-        b.append(np.minimum(nodes[near], nodes[i]))
-    return np.concatenate(a), np.concatenate(b)
-
-
-def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool, most: int = 4) -> DataFrame:
+def _link_runs(rows: DataFrame, words: int, max_bits: int) -> DataFrame:
     """(a, b, fp, mask): links of each (mask, key) run, or the rows of a run longer than RUN as fp and mask with b null.
 
-    Exact links are a forest that connects as all pairs would. Others are each row's `most` nearest, for a later check; there
-    a longer run is taken in chunks, each after rows of earlier ones that are not the larger end of a link.
+    Links are a forest that connects as all pairs would.
     """
     import pyarrow as pa
 
-    spread = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", *(["fp"] if exact else []))
+    spread = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
 
     def run(parts):
         import numpy as np
 
-        def links(fps, nodes):
-            return _forest(fps, nodes, max_bits) if exact else _nearest(fps, nodes, max_bits, most)
-
         carry = None
         for batch in itertools.chain(parts, [None]):
             if batch is not None:
@@ -182,17 +169,12 @@ def _link_runs(rows: DataFrame, words: int, max_bits: int, exact: bool, most: in
             got_a.append(np.maximum(node[p], node[p + 1])[near])
             got_b.append(np.minimum(node[p], node[p + 1])[near])
             for s, e in zip(starts[many & ~pair].tolist(), stops[many & ~pair].tolist()):
-                if exact and e - s > RUN and 64 - (int(mask[s]) & (1 << 64) - 1).bit_count() > FEW_BITS:
+                if e - s > RUN and 64 - (int(mask[s]) & (1 << 64) - 1).bit_count() > FEW_BITS:
                     hot.append(np.arange(s, e))
                     continue
-                heads = np.empty(0, np.int64)
-                for at in range(s, e, RUN):
-                    rows = np.concatenate([heads, np.arange(at, min(e, at + RUN))])
-                    a, b = links(fps[rows], node[rows])
-                    got_a.append(a)
-                    got_b.append(b)
-                    if e - s > RUN:
-                        heads = rows[~np.isin(node[rows], a)][-RUN // 4 :]
+                a, b = _forest(fps[s:e], node[s:e], max_bits)
+                got_a.append(a)
+                got_b.append(b)
             a, b = np.concatenate(got_a), np.concatenate(got_b)
             a, b = a[(real := a != b)], b[real]
             h = np.concatenate(hot) if hot else np.empty(0, np.int64)
@@ -214,7 +196,7 @@ def links_within(nodes: DataFrame, max_bits: int, shared: int = 3) -> DataFrame:
     fp = F.col("fp")[0]
     rows = nodes.withColumn("mask", F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks))))
     while True:
-        out = written(_link_runs(rows.withColumn("key", fp.bitwiseAND(F.col("mask"))), 1, max_bits, True), "links")
+        out = written(_link_runs(rows.withColumn("key", fp.bitwiseAND(F.col("mask"))), 1, max_bits), "links")
         found.append(out.filter("b IS NOT NULL").select("a", "b"))
         hot = out.filter("b IS NULL")
         todo = [r["mask"] & (1 << 64) - 1 for r in hot.select("mask").distinct().collect()]  # at most one a mask
@@ -228,21 +210,6 @@ def links_within(nodes: DataFrame, max_bits: int, shared: int = 3) -> DataFrame:
     return edges
 
 
-def links_similar(nodes: DataFrame, words: int, max_bits: int, block_bits: int = 16) -> DataFrame:
-    """Links (a, b) between long fingerprints (fp: `words` longs) that share a block of block_bits and are within max_bits.
-
-    Wider blocks meet fewer strangers and miss more of the least similar pairs: take about log2 of the documents.
-    """
-    per = 64 // block_bits
-    key = F.shiftrightunsigned(F.col("fp")[F.floor(F.col("mask") / per).cast("int")], 0)
-    rows = nodes.withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit(words * per - 1)).cast("array<bigint>")))
-    lane = F.col("mask") % per
-    value = F.lit(0).cast("long")
-    for i in range(per):
-        value = F.when(lane == i, F.shiftrightunsigned(key, i * block_bits).bitwiseAND(F.lit((1 << block_bits) - 1))).otherwise(value)
-    return _link_runs(rows.withColumn("key", value.cast("long")), words, max_bits, False).filter("b IS NOT NULL").select("a", "b")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each linked node, by alternating large and small stars."""
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -281,23 +248,201 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, id_col: s
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex(F.col("fp")[0])), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def similar_bits(similarity: float, bits: int, deviations: float = 0.0) -> int:
-    """The differing bits to expect of two texts whose shingle sets have this Jaccard similarity, and so many standard
-    deviations more."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+def shingle_set(text: str, size: int):
+    """The distinct shingle hashes of a text, in order."""
+    import numpy as np
 
+    return np.unique(shingle_hashes(text, size))
 
-def verified(edges: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The links whose texts have the Jaccard similarity or more on sets of `size`-word shingles.
 
-    Of rows that repeat an id, the least text stands for it.
-    """
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    texts = written(texts, "texts")
-    both = salted_lookup(edges, texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a", "b")
-    both = salted_lookup(both, texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b", "a")
+def set_digests(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """(id, fp array<long> of two[, text]): the 128-bit digest of each document's set of shingles."""
+    import pyarrow as pa
+
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(parts):
+        import numpy as np
+        import xxhash
+
+        for batch in parts:
+            digests = [np.frombuffer(xxhash.xxh3_128_digest(shingle_set(t.as_py() or "", size).tobytes()), "<i8") for t in batch.column("text")]
+            flat = pa.array(np.concatenate([np.empty(0, np.int64), *digests]))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2, dtype=np.int32)), flat)
+            more = [batch.column("text")] if with_text else []
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists, *more], names=["id", "fp", "text"][: 2 + len(more)])
+
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>" + (", text string" if with_text else ""))
+
+
+def prefix(s, common, counts, similarity: float):
+    """The first shingles of a set by (count, hash), so many that sets of this similarity or more share one at least."""
+    import numpy as np
+
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        s = s[np.lexsort((s, np.where(common[at] == s, counts[at], 0)))]
+    return s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1]
+
+
+def prefixes(reps: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(u, n, keys, sketch) a set: its size, its prefix, and for each of 64 * SKETCH bits whether an odd number of its
+    shingles fall there. Sets differ in as many shingles at least as their sketches differ in bits."""
+    import numpy as np
+    import pyarrow as pa
+
+    scale = 1 << 20
+    share = min(scale, math.ceil(scale * ORDER_ROWS / max(1, reps.count())))
+
+    def every(parts):
+        for batch in parts:
+            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["key"])
+
+    sample = reps.filter(F.pmod(F.xxhash64("fp"), F.lit(scale)) < share).select("text").mapInArrow(every, "key long")
+    top = sample.groupBy("key").count().filter("count >= 4").orderBy(F.desc("count"), "key").limit(100_000).collect()
+    known = sorted((r["key"] & (1 << 64) - 1, r["count"]) for r in top)
+    shared = reps.sparkSession.sparkContext.broadcast((np.array([k for k, _ in known], np.uint64), np.array([c for _, c in known], np.int64)))
+
+    def run(parts):
+        common, counts = shared.value
+        for batch in parts:
+            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            keys = [prefix(s, common, counts, similarity) if len(s) else s for s in sets]
+            odd = np.array([np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1 for s in sets], np.uint8).reshape(-1, 64 * SKETCH)
+            flat = pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), flat)
+            bits = pa.array(np.packbits(odd, axis=1).view(np.int64).ravel())
+            sketches = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, SKETCH, dtype=np.int32)), bits)
+            yield pa.RecordBatch.from_arrays([batch.column("u"), pa.array([len(s) for s in sets], pa.int64()), lists, sketches], names=["u", "n", "keys", "sketch"])
+
+    return reps.select("u", "text").mapInArrow(run, "u long, n long, keys array<bigint>, sketch array<bigint>")
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """(a, b): each row (key, u) with the first and the last one before it of the same key."""
+    import pyarrow as pa
+
+    def run(parts):
+        import numpy as np
+
+        last, head, before = None, 0, 0
+        for batch in parts:
+            if not len(batch):
+                continue
+            key, u = batch.column("key").to_numpy(), batch.column("u").to_numpy()
+            new = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
+            at = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+            heads, prev = np.where(at >= 0, u[at], head), np.concatenate([[before], u[:-1]])
+            last, head, before = key[-1], heads[-1], u[-1]
+            two = np.stack([np.tile(u[~new], 2), np.concatenate([heads[~new], prev[~new]])], axis=1)
+            two = np.unique(two, axis=0) if len(two) else two
+            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "u").mapInArrow(run, "a long, b long").filter("a <> b").distinct()
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(key, u) of the keys that rows (key, u, label) of more than one label have."""
+    import pyarrow as pa
+
+    def run(parts):
+        import numpy as np
+
+        last, label0, open_mixed, held = None, 0, False, []
+        for batch in parts:
+            if not len(batch):
+                continue
+            key, u, label = (batch.column(c).to_numpy() for c in ("key", "u", "label"))
+            goes_on = last is not None and key[0] == last
+            new = np.concatenate([[not goes_on], key[1:] != key[:-1]])
+            run_no = np.cumsum(new) - (0 if goes_on else 1)
+            first = label[new] if not goes_on else np.concatenate([[label0], label[new]])
+            mixed = np.bincount(run_no, label != first[run_no], minlength=len(first)) > 0
+            if goes_on:
+                mixed[0] |= open_mixed
+            got_k, got_u = [key[mixed[run_no]]], [u[mixed[run_no]]]
+            if goes_on and mixed[0] and held:
+                got_k.append(np.full(sum(map(len, held)), last))
+                got_u.extend(held)
+            tail = u[run_no == run_no[-1]]
+            if mixed[-1]:
+                held = []
+            else:
+                held = [*held, tail] if goes_on and run_no[-1] == 0 else [tail]
+            last, label0, open_mixed = key[-1], first[-1], bool(mixed[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_k), pa.int64()), pa.array(np.concatenate(got_u), pa.int64())], names=["key", "u"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(run, "key long, u long")
+
+
+def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of a (key, c1, c2) run that are of two labels and, by size and sketch, may be similar enough.
+
+    Of a run of two parts, c1 and c2, only pairs across them."""
+    import pyarrow as pa
+
+    share = (1 - similarity) / (1 + similarity)
+
+    def run(parts):
+        import numpy as np
+
+        carry = None
+        for batch in itertools.chain(parts, [None]):
+            if batch is not None:
+                if not len(batch):
+                    continue
+                now = [batch.column(c).to_numpy() for c in ("key", "c1", "c2", "own", "u", "n", "label")]
+                now.append(batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH))
+                now = now if carry is None else [np.concatenate(x) for x in zip(carry, now)]
+            elif carry is None:
+                return
+            else:
+                now = carry
+            key, c1, c2, own, u, n, label, bits = now
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])) + 1
+            starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
+            keep = len(key)
+            if batch is not None:  # the last run may go on
+                keep = starts[-1]
+                starts, stops = starts[:-1], stops[:-1]
+            carry = [x[keep:] for x in now] if batch is not None else None
+            for s, e in zip(starts.tolist(), stops.tolist()):
+                got = []
+                for i in range(s, e - 1):
+                    r = slice(i + 1, e)
+                    near = (label[r] != label[i]) & (np.minimum(n[r], n[i]) >= similarity * np.maximum(n[r], n[i]) - 1e-9)
+                    if c1[s] != c2[s]:
+                        near &= own[r] != own[i]
+                    j = np.flatnonzero(near) + i + 1
+                    if len(j):
+                        d = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                        j = j[d <= share * (n[j] + n[i]) + 1e-9]
+                        got.append(np.stack([np.maximum(u[j], u[i]), np.minimum(u[j], u[i])], axis=1))
+                    if sum(map(len, got)) > 1 << 16 or (i == e - 2 and got):
+                        two = np.concatenate(got)
+                        got = []
+                        yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2").mapInArrow(run, "a long, b long").distinct()
+
+
+def may_be_similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) whose sizes and sketches allow the similarity."""
+    side = lambda x: sets.select(F.col("u").alias(x), F.struct("n", "sketch").alias(f"s{x}"))
+    both = salted_lookup(salted_lookup(edges, side("a"), "a", "b"), side("b"), "b", "a")
+    differ = F.aggregate(F.zip_with("sa.sketch", "sb.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    sizes = F.least("sa.n", "sb.n") >= similarity * F.greatest("sa.n", "sb.n") - 1e-9
+    return both.filter(sizes & (differ <= (1 - similarity) / (1 + similarity) * (F.col("sa.n") + F.col("sb.n")) + 1e-9)).select("a", "b")
+
+
+def verified(edges: DataFrame, reps: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The links (a, b) whose texts (reps: u, text) have the Jaccard similarity or more on sets of `size`-word shingles."""
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("u")).distinct()
+    texts = written(reps.select("u", "text").join(wanted, "u", "left_semi"), "texts")
+    both = salted_lookup(edges, texts.select(F.col("u").alias("a"), F.col("text").alias("x")), "a", "b")
+    both = salted_lookup(both, texts.select(F.col("u").alias("b"), F.col("text").alias("y")), "b", "a")
 
     def run(parts):
         import pyarrow as pa
@@ -312,21 +457,43 @@ def verified(edges: DataFrame, docs: DataFrame, size: int, similarity: float, id
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, words: int = 8, block_bits: int = 16, deviations: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_sets(reps: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) that connect the distinct sets of reps (u, fp, text) as all pairs of this similarity or more would.
+
+    First, rows of a shared shingle are linked to two of them, and the links checked: that joins most of each class. Then
+    every pair that shares a shingle of both prefixes and is not joined yet is looked at; shingles of over RUN rows are dealt
+    out as pairs of parts.
+    """
+    sets = written(prefixes(reps, size, similarity), "sets")
+    stars = written(_stars(sets.select("u", F.explode("keys").alias("key"))), "stars")
+    first = written(verified(written(may_be_similar(stars, sets, similarity), "near"), reps, size, similarity), "first")
+    labels = components(first).select(F.col("node").alias("u"), F.col("root").alias("label"))
+    sets = sets.join(labels, "u", "left").withColumn("label", F.coalesce("label", "u"))
+    mixed = written(_mixed(sets.select("u", "label", F.explode("keys").alias("key"))), "mixed")
+    parts = mixed.groupBy("key").count().filter(F.col("count") > RUN).select("key", F.ceil(F.col("count") / RUN).cast("int").alias("parts"))
+    dealt = salted_lookup(mixed, parts, "key", "u").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")).join(sets.select("u", "n", "label", "sketch"), "u")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = written(_pairs(dealt.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "u", "n", "label", "sketch"), similarity), "pairs")
+    return first.unionByName(verified(pairs, reps, size, similarity))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose class (links at `similarity` or more) holds a smaller id; rows of one id stay together.
 
-    Candidates share a block and are within the bits expected at that similarity and `deviations` standard deviations more;
-    each row's nearest candidates are then checked on their shingle sets. Rows with a null id always stay. Texts without
-    words are copies of one another.
+    Similarity is the Jaccard similarity of sets of `size`-word shingles, for all pairs. Rows with a null id always stay.
+    Texts without words are copies of one another.
     """
-    bits = similar_bits(similarity, 64 * words, deviations)
-    fps = written(fingerprints(docs, size, words, id_col, text_col), "fingerprints")
 
     def link(nodes: DataFrame) -> DataFrame:
-        near = written(links_similar(nodes, words, bits, block_bits).filter("a <> b").distinct(), "near")
-        return verified(near, docs, size, similarity, id_col, text_col)
-
-    with arrow_rows(docs.sparkSession, 500):  # rows with two whole texts; classes() runs the links
-        out = classes(fps, link)
+        rows = set_digests(docs, size, id_col, text_col, True).filter("id IS NOT NULL")
+        least = rows.groupBy("fp").agg(F.min("id").cast("long").alias("node"), F.min("text").alias("text"))
+        reps = written(least.withColumn("u", F.monotonically_increasing_id()), "sets")
+        name = lambda x: reps.select(F.col("u").alias(x), F.col("node").alias(f"n{x}"))
+        edges = salted_lookup(salted_lookup(similar_sets(reps, size, similarity), name("a"), "a", "b"), name("b"), "b", "a")
+        return edges.select(F.col("na").alias("a"), F.col("nb").alias("b"))
+
+    with arrow_rows(docs.sparkSession, 500):  # rows with whole texts; classes() runs the links
+        out = classes(written(set_digests(docs, size, id_col, text_col), "digests"), link)
     gone = out.filter("id <> component").select(F.col("id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
