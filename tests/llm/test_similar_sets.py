@@ -50,3 +50,12 @@ def test_long_runs_lose_no_pair(spark, docs, monkeypatch, run):
             copy[rng.randrange(60)] = f"d{rng.randrange(9)}"
         texts.append(" ".join(copy))
     assert kept(docs, texts) == all_pairs(texts)
+
+
+def test_equal_majorities_are_not_copies(spark, docs):
+    """A run of one repeated word outvotes all other shingles of a fingerprint; sets tell the texts apart."""
+    rng, run = random.Random(3), " ".join(["same"] * 64)
+    texts = [" ".join(f"e{i}x{rng.randrange(10**6)}" for _ in range(120)) + " " + run for i in range(6)]
+    plain = " ".join(f"p{i}" for i in range(400))
+    texts += [plain, plain + " " + " ".join(["==="] * 400)]
+    assert kept(docs, texts) == all_pairs(texts) == {0, 1, 2, 3, 4, 5, 6}
