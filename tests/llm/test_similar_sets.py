@@ -59,3 +59,18 @@ def test_equal_majorities_are_not_copies(spark, docs):
     plain = " ".join(f"p{i}" for i in range(400))
     texts += [plain, plain + " " + " ".join(["==="] * 400)]
     assert kept(docs, texts) == all_pairs(texts) == {0, 1, 2, 3, 4, 5, 6}
+
+
+def test_least_similar_and_short_pairs_are_found(spark, docs):
+    """Short texts of 4 in 5, 5 in 6 and 6 in 7 shared shingles, and longer ones at 0.8 to 0.84."""
+    rng, texts = random.Random(4), []
+    for i in range(60):
+        base = [f"s{i}x{j}" for j in range(9 + i % 3)]
+        texts += [" ".join(base), " ".join(base[:-1])]
+    for i in range(40):
+        base = [f"l{i}x{j}" for j in range(rng.randrange(60, 300))]
+        at = rng.randrange(5, len(base))
+        texts += [" ".join(base), " ".join(base[: at - (len(base) - 4) // 6] + base[at:])]
+    want = all_pairs(texts)
+    assert len(want) < 140
+    assert kept(docs, texts) == want
