@@ -146,7 +146,7 @@ def nearest(vectors: DataFrame, query_filter, id_col: str = "vec_id", vec_col: s
         data = _pack(ids=ids, v=v, order=order, nodes=nodes, spans=spans)
         return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()), "block": pa.array([-1], pa.int64()), "data": pa.array([data], pa.binary())})
 
-    trees = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard")).groupBy("shard").applyInArrow(index, "shard int, block long, data binary")
+    trees = rows.select("id", "v").dropDuplicates().select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard")).groupBy("shard").applyInArrow(index, "shard int, block long, data binary")
 
     def blocks(parts):
         from pyspark import TaskContext
@@ -158,7 +158,7 @@ def nearest(vectors: DataFrame, query_filter, id_col: str = "vec_id", vec_col: s
                 yield pa.RecordBatch.from_arrays([pa.array([(pid << 32) + made], pa.int64()), pa.array([_pack(ids=ids, v=v)], pa.binary())], names=["block", "data"])
                 made += 1
 
-    asked = rows.filter(query_filter).select("id", "v").coalesce(max(1, shards // 4)).mapInArrow(blocks, "block long, data binary")
+    asked = rows.filter(query_filter).select("id", "v").dropDuplicates().coalesce(max(1, shards // 4)).mapInArrow(blocks, "block long, data binary")
     asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "block", "data")
 
     def run(parts):
