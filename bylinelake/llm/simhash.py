@@ -5,8 +5,9 @@ share all bits of one key mask at least, so equal (mask, key) rows meet in one r
 verified and only a forest of links leaves the task. Every table is by distinct fingerprint, so copies cost nothing, and
 the links never meet on the driver.
 
-drop_near_duplicates goes by the Jaccard similarity of shingle sets, exactly: sets that are similar share one of their
-rarest shingles (prefix filter), pairs of equal shingles are sifted by a bound that loses none, and what is left is checked.
+drop_near_duplicates goes by the Jaccard similarity of shingle sets: SimHash links of the sets are checked on the texts, and
+an exact join finds the pairs that fingerprints miss: sets that are similar share one of their rarest shingles (prefix
+filter), pairs of equal shingles are sifted by a bound that loses none, and what is left is checked.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ RUN = 4096
 ORDER_ROWS = 10_000
 #: 64-bit words of a set's parity sketch.
 SKETCH = 8
+#: Links that are checked together, and the most rows of a lookup of texts that are broadcast.
+BUCKET, BROADCAST_ROWS = 256, 500_000
 #: With so many bits outside the mask a run has at most 2 ** FEW_BITS fingerprints, all different, and is never split.
 FEW_BITS = 12
 
@@ -255,8 +258,10 @@ def shingle_set(text: str, size: int):
     return np.unique(shingle_hashes(text, size))
 
 
-def set_digests(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """(id, fp array<long> of two[, text]): the 128-bit digest of each document's set of shingles."""
+def set_rows(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp array<long> of two, sign, n, sketch) a document: of its set of shingles the 128-bit digest, the 64-bit
+    SimHash, the size, and for each of 64 * SKETCH bits whether an odd number of shingles fall there. Sets differ in as
+    many shingles at least as their sketches differ in bits."""
     import pyarrow as pa
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -266,14 +271,16 @@ def set_digests(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: st
         import xxhash
 
         for batch in parts:
-            digests = [np.frombuffer(xxhash.xxh3_128_digest(shingle_set(t.as_py() or "", size).tobytes()), "<i8") for t in batch.column("text")]
-            flat = pa.array(np.concatenate([np.empty(0, np.int64), *digests]))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2, dtype=np.int32)), flat)
-            more = [batch.column("text")] if with_text else []
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists, *more], names=["id", "fp", "text"][: 2 + len(more)])
+            sets = [shingle_set(t.as_py() or "", size) for t in batch.column("text")]
+            digests = pa.array(np.concatenate([np.empty(0, np.int64), *(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8") for s in sets)]))
+            signs = np.array([fingerprint(s)[0] for s in sets], np.uint64)
+            odd = np.array([np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1 for s in sets], np.uint8).reshape(-1, 64 * SKETCH)
+            lists = lambda flat, k: pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
+            sketches = pa.array(np.packbits(odd, axis=1).view(np.int64).ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists(digests, 2), pa.array(signs.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), lists(sketches, SKETCH)], names=["id", "fp", "sign", "n", "sketch"])
 
-    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>" + (", text string" if with_text else ""))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>, sign long, n long, sketch array<bigint>")
 
 
 def prefix(s, common, counts, similarity: float):
@@ -286,42 +293,67 @@ def prefix(s, common, counts, similarity: float):
     return s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1]
 
 
-def prefixes(reps: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(u, n, keys, sketch) a set: its size, its prefix, and for each of 64 * SKETCH bits whether an odd number of its
-    shingles fall there. Sets differ in as many shingles at least as their sketches differ in bits."""
-    import numpy as np
+def shared_prefixes(docs: DataFrame, n_docs: int, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(key, name): the prefix shingles that two or more different sets have; name is the first word of a set's digest."""
     import pyarrow as pa
 
     scale = 1 << 20
-    share = min(scale, math.ceil(scale * ORDER_ROWS / max(1, reps.count())))
+    share = min(scale, math.ceil(scale * ORDER_ROWS / max(1, n_docs)))
+    texts = docs.filter(F.col(id_col).isNotNull()).select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def every(parts):
+        import numpy as np
+
         for batch in parts:
-            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            sets = [shingle_set(t.as_py() or "", size) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["key"])
 
-    sample = reps.filter(F.pmod(F.xxhash64("fp"), F.lit(scale)) < share).select("text").mapInArrow(every, "key long")
-    top = sample.groupBy("key").count().filter("count >= 4").orderBy(F.desc("count"), "key").limit(100_000).collect()
+    sample = texts.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share).mapInArrow(every, "key long")
+    top = sample.groupBy("key").count().filter("count >= 3").orderBy(F.desc("count"), "key").limit(100_000).collect()
     known = sorted((r["key"] & (1 << 64) - 1, r["count"]) for r in top)
-    shared = reps.sparkSession.sparkContext.broadcast((np.array([k for k, _ in known], np.uint64), np.array([c for _, c in known], np.int64)))
+    table = ([k for k, _ in known], [c for _, c in known])
+    order = docs.sparkSession.sparkContext.broadcast(table)
 
-    def run(parts):
-        common, counts = shared.value
+    def keys(parts):
+        import numpy as np
+        import xxhash
+
+        common, counts = (np.array(x, kind) for x, kind in zip(order.value, (np.uint64, np.int64)))
         for batch in parts:
-            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
-            keys = [prefix(s, common, counts, similarity) if len(s) else s for s in sets]
-            odd = np.array([np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1 for s in sets], np.uint8).reshape(-1, 64 * SKETCH)
-            flat = pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), flat)
-            bits = pa.array(np.packbits(odd, axis=1).view(np.int64).ravel())
-            sketches = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, SKETCH, dtype=np.int32)), bits)
-            yield pa.RecordBatch.from_arrays([batch.column("u"), pa.array([len(s) for s in sets], pa.int64()), lists, sketches], names=["u", "n", "keys", "sketch"])
+            got, names = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for t in batch.column("text"):
+                s = shingle_set(t.as_py() or "", size)
+                if len(s):
+                    got.append(prefix(s, common, counts, similarity))
+                    names.append(np.full(len(got[-1]), np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "name"])
+
+    def shared(parts):
+        import numpy as np
+
+        held, out = None, False  # the last row so far, and whether it has gone out
+        for batch in itertools.chain(parts, [None]):
+            if batch is not None and not len(batch):
+                continue
+            if batch is None:
+                return
+            key, name = (batch.column(c).to_numpy() for c in ("key", "name"))
+            if held is not None:
+                key, name = np.concatenate([[held[0]], key]), np.concatenate([[held[1]], name])
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
+            key, name = key[fresh], name[fresh]
+            same = key[1:] == key[:-1]
+            goes = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            was, out, held = out, bool(goes[-1]) or (len(key) == 1 and held is not None and out), (key[-1], name[-1])
+            goes[0] &= not was
+            yield pa.RecordBatch.from_arrays([pa.array(key[goes], pa.int64()), pa.array(name[goes], pa.int64())], names=["key", "name"])
 
-    return reps.select("u", "text").mapInArrow(run, "u long, n long, keys array<bigint>, sketch array<bigint>")
+    rows = texts.mapInArrow(keys, "key long, name long")
+    return rows.repartition("key").sortWithinPartitions("key", "name").mapInArrow(shared, "key long, name long")
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """(a, b): each row (key, u) with the first and the last one before it of the same key."""
+    """(a, b): each row (key, u, hub) with the one of most hub and with the one before it of the same key."""
     import pyarrow as pa
 
     def run(parts):
@@ -340,7 +372,8 @@ def _stars(rows: DataFrame) -> DataFrame:
             two = np.unique(two, axis=0) if len(two) else two
             yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
 
-    return rows.repartition("key").sortWithinPartitions("key", "u").mapInArrow(run, "a long, b long").filter("a <> b").distinct()
+    spread = rows.repartition("key").sortWithinPartitions("key", F.desc("hub"), "u")
+    return spread.mapInArrow(run, "a long, b long").filter("a <> b")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -429,7 +462,8 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def may_be_similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links (a, b) whose sizes and sketches allow the similarity."""
+    """The distinct links (a, b), b the smaller, whose sizes and sketches allow the similarity."""
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     side = lambda x: sets.select(F.col("u").alias(x), F.struct("n", "sketch").alias(f"s{x}"))
     both = salted_lookup(salted_lookup(edges, side("a"), "a", "b"), side("b"), "b", "a")
     differ = F.aggregate(F.zip_with("sa.sketch", "sb.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
@@ -437,63 +471,123 @@ def may_be_similar(edges: DataFrame, sets: DataFrame, similarity: float) -> Data
     return both.filter(sizes & (differ <= (1 - similarity) / (1 + similarity) * (F.col("sa.n") + F.col("sb.n")) + 1e-9)).select("a", "b")
 
 
-def verified(edges: DataFrame, reps: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The links (a, b) whose texts (reps: u, text) have the Jaccard similarity or more on sets of `size`-word shingles."""
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("u")).distinct()
-    texts = written(reps.select("u", "text").join(wanted, "u", "left_semi"), "texts")
-    both = salted_lookup(edges, texts.select(F.col("u").alias("a"), F.col("text").alias("x")), "a", "b")
-    both = salted_lookup(both, texts.select(F.col("u").alias("b"), F.col("text").alias("y")), "b", "a")
+def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The links (a, b) whose texts have the Jaccard similarity or more on sets of `size`-word shingles.
 
-    def run(parts):
-        import pyarrow as pa
+    A bucket is a smaller end b, or a part of its links where it has more than BUCKET; each text goes once to each of its
+    buckets. sets: (u, id, fp), by which texts are looked up in docs.
+    """
+    import pyarrow as pa
+
+    spark = edges.sparkSession
+    edges = written(edges, "edges")
+    many = edges.groupBy("b").count().filter(F.col("count") > BUCKET).select("b", F.ceil(F.col("count") / BUCKET).cast("int").alias("parts"))
+    dealt = salted_lookup(edges, many, "b", "a").withColumn("part", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int"))
+    dealt = written(dealt.select("a", "b", "part"), "dealt")
+    members = dealt.select("b", "part", F.explode(F.array("a", "b")).alias("u")).distinct()
+    members = written(members.join(sets.select("u", F.col("id").alias("__id"), F.col("fp").alias("__fp")), "u"), "members")
+    few = members.count() <= BROADCAST_ROWS
+    wanted = members.select("__id").distinct()
+    texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if few:  # at most BROADCAST_ROWS rows of two numbers and a digest; beyond that the texts are shuffled instead
+        texts = texts.join(F.broadcast(wanted), "__id", "left_semi")
+
+    def digest(parts):
+        import numpy as np
+        import xxhash
+
+        for batch in parts:
+            fps = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(xxhash.xxh3_128_digest(shingle_set(t.as_py(), size).tobytes()), "<i8") for t in batch.column("text"))])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(fps) + 1, 2, dtype=np.int32)), pa.array(fps))
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), lists, batch.column("text")], names=["__id", "__fp", "text"])
+
+    kind = dict(members.dtypes)["__id"]
+    read = texts.mapInArrow(digest, f"__id {kind}, __fp array<bigint>, text string")
+    placed = read.join(F.broadcast(members) if few else members, ["__id", "__fp"]).select("b", "part", "u", "text")
+    rows = placed.withColumn("a", F.lit(None).cast("long")).unionByName(dealt.select("b", "part", F.col("b").alias("u"), F.lit(None).cast("string").alias("text"), "a"))
+    spread = rows.repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
 
+    def run(parts):
+        now, sets_here = None, {}
         for batch in parts:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                s, t = (set(shingle_hashes(v.as_py(), size).tolist()) for v in (x, y))
-                keep.append(len(s & t) >= similarity * len(s | t))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            got_a, got_b = [], []
+            for b, part, u, text, a in zip(*(batch.column(c).to_pylist() for c in ("b", "part", "u", "text", "a"))):
+                if (b, part) != now:
+                    now, sets_here = (b, part), {}
+                if a is None:
+                    if u not in sets_here:
+                        sets_here[u] = shingle_set(text, size)
+                elif similar(sets_here[a], sets_here[b], similarity):
+                    got_a.append(a)
+                    got_b.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], names=["a", "b"])
+
+    with arrow_rows(spark, 200):  # rows with whole texts
+        return written(spread.mapInArrow(run, "a long, b long"), "verified")
+
+
+def similar(s, t, similarity: float) -> bool:
+    import numpy as np
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both >= similarity * (len(s) + len(t) - both)
 
 
-def similar_sets(reps: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (a, b) that connect the distinct sets of reps (u, fp, text) as all pairs of this similarity or more would.
+def labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """sets with the smallest u that links reach."""
+    roots = components(links).select(F.col("node").alias("u"), F.col("root").alias("label"))
+    return sets.drop("label").join(roots, "u", "left").withColumn("label", F.coalesce("label", "u"))
 
-    First, rows of a shared shingle are linked to two of them, and the links checked: that joins most of each class. Then
-    every pair that shares a shingle of both prefixes and is not joined yet is looked at; shingles of over RUN rows are dealt
-    out as pairs of parts.
+
+def similar_sets(sets: DataFrame, docs: DataFrame, n_docs: int, size: int, similarity: float, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) that connect the distinct sets (u, id, fp, sign, n, sketch) as all pairs of this similarity would.
+
+    First, SimHash: fingerprints within max_bits meet by pigeonhole masks, and their links are checked on the texts. That
+    joins most of each class. The pairs that fingerprints miss share a shingle of both prefixes: rows of a shared shingle
+    are linked to two of them and checked; then every pair of two classes is looked at, shingles of over RUN rows dealt out
+    as pairs of parts.
     """
-    sets = written(prefixes(reps, size, similarity), "sets")
-    stars = written(_stars(sets.select("u", F.explode("keys").alias("key"))), "stars")
-    first = written(verified(written(may_be_similar(stars, sets, similarity), "near"), reps, size, similarity), "first")
-    labels = components(first).select(F.col("node").alias("u"), F.col("root").alias("label"))
-    sets = sets.join(labels, "u", "left").withColumn("label", F.coalesce("label", "u"))
-    mixed = written(_mixed(sets.select("u", "label", F.explode("keys").alias("key"))), "mixed")
+    check = lambda edges: verified(may_be_similar(edges, sets, similarity), sets, docs, size, similarity, id_col, text_col)
+    signs = sets.groupBy("sign").agg(F.min("u").alias("node"))
+    equal = salted_lookup(sets.select("sign", "u"), signs, "sign", "u").filter("u <> node").select(F.col("u").alias("a"), F.col("node").alias("b"))
+    hashed = links_within(written(signs.select("node", F.array("sign").alias("fp")), "signs"), max_bits)
+    links = check(equal.unionByName(hashed))
+
+    keys = written(shared_prefixes(docs, n_docs, size, similarity, id_col, text_col), "keys")
+    names = sets.select(F.col("fp")[0].alias("name"), "u")
+    rows = written(keys.join(names, "name").select("key", "u"), "shared")
+    runs = rows.groupBy("key").count()
+    hubs = salted_lookup(rows, runs, "key", "u").groupBy("u").agg(F.sum("count").alias("hub"))
+    own = labelled(sets, links)
+    star = _stars(rows.join(hubs, "u"))
+    tell = own.select("u", "label")
+    star = salted_lookup(salted_lookup(star.distinct(), tell.select(F.col("u").alias("a"), F.col("label").alias("la")), "a", "b"), tell.select(F.col("u").alias("b"), F.col("label").alias("lb")), "b", "a")
+    links = links.unionByName(check(star.filter("la <> lb").select("a", "b")))
+
+    own = written(labelled(sets, links).select("u", "n", "label", "sketch"), "labelled")
+    mixed = written(_mixed(rows.join(own.select("u", "label"), "u").select("key", "u", "label")), "mixed")
     parts = mixed.groupBy("key").count().filter(F.col("count") > RUN).select("key", F.ceil(F.col("count") / RUN).cast("int").alias("parts"))
     dealt = salted_lookup(mixed, parts, "key", "u").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")).join(sets.select("u", "n", "label", "sketch"), "u")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")).join(own, "u")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = written(_pairs(dealt.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "u", "n", "label", "sketch"), similarity), "pairs")
-    return first.unionByName(verified(pairs, reps, size, similarity))
+    pairs = _pairs(dealt.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "u", "n", "label", "sketch"), similarity)
+    return links.unionByName(verified(pairs, sets, docs, size, similarity, id_col, text_col))
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose class (links at `similarity` or more) holds a smaller id; rows of one id stay together.
 
-    Similarity is the Jaccard similarity of sets of `size`-word shingles, for all pairs. Rows with a null id always stay.
-    Texts without words are copies of one another.
+    Similarity is the Jaccard similarity of sets of `size`-word shingles, for all pairs: SimHash finds most, an exact join
+    the rest. Rows with a null id always stay. Null texts and texts without words are copies of one another.
     """
-
-    def link(nodes: DataFrame) -> DataFrame:
-        rows = set_digests(docs, size, id_col, text_col, True).filter("id IS NOT NULL")
-        least = rows.groupBy("fp").agg(F.min("id").cast("long").alias("node"), F.min("text").alias("text"))
-        reps = written(least.withColumn("u", F.monotonically_increasing_id()), "sets")
-        name = lambda x: reps.select(F.col("u").alias(x), F.col("node").alias(f"n{x}"))
-        edges = salted_lookup(salted_lookup(similar_sets(reps, size, similarity), name("a"), "a", "b"), name("b"), "b", "a")
-        return edges.select(F.col("na").alias("a"), F.col("nb").alias("b"))
-
-    with arrow_rows(docs.sparkSession, 500):  # rows with whole texts; classes() runs the links
-        out = classes(written(set_digests(docs, size, id_col, text_col), "digests"), link)
-    gone = out.filter("id <> component").select(F.col("id").alias(id_col)).distinct()
+    with arrow_rows(docs.sparkSession, 500):  # rows with whole texts
+        rows = written(set_rows(docs, size, id_col, text_col), "rows")
+        by_set = rows.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("sign", "n", "sketch")))
+        sets = written(by_set.withColumn("u", F.monotonically_increasing_id()), "sets")
+        links = similar_sets(sets, docs, rows.count(), size, similarity, max_bits, id_col, text_col)
+        least = sets.join(components(links).select(F.col("node").alias("u"), F.col("root").alias("label")), "u", "left").withColumn("label", F.coalesce("label", "u"))
+        roots = least.groupBy("label").agg(F.min("id").alias("component"))
+        named = salted_lookup(least.select("fp", "label"), roots, "label", "fp").select("fp", "component")
+        gone = salted_lookup(rows.filter("id IS NOT NULL").select("id", "fp"), named, "fp", "id").filter("id <> component")
+        gone = written(gone.select(F.col("id").alias(id_col)).distinct(), "gone")
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
