@@ -259,9 +259,9 @@ def shingle_set(text: str, size: int):
 
 
 def set_rows(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp array<long> of two, sign, n, sketch) a document: of its set of shingles the 128-bit digest, the 64-bit
+    """(id, fp array<long> of two, sign, n, sketch, fine) a document: of its set of shingles the 128-bit digest, the 64-bit
     SimHash, the size, and for each of 64 * SKETCH bits whether an odd number of shingles fall there. Sets differ in as
-    many shingles at least as their sketches differ in bits."""
+    many shingles at least as their sketches differ in bits. fine is a longer sketch, of two to four bits a shingle."""
     import pyarrow as pa
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -274,13 +274,22 @@ def set_rows(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
             sets = [shingle_set(t.as_py() or "", size) for t in batch.column("text")]
             digests = pa.array(np.concatenate([np.empty(0, np.int64), *(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8") for s in sets)]))
             signs = np.array([fingerprint(s)[0] for s in sets], np.uint64)
-            odd = np.array([np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1 for s in sets], np.uint8).reshape(-1, 64 * SKETCH)
             lists = lambda flat, k: pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), flat)
-            sketches = pa.array(np.packbits(odd, axis=1).view(np.int64).ravel())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists(digests, 2), pa.array(signs.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), lists(sketches, SKETCH)], names=["id", "fp", "sign", "n", "sketch"])
+            sketches = pa.array(np.concatenate([np.empty(0, np.int64), *(parities(s, SKETCH) for s in sets)]))
+            fine = [parities(s, max(SKETCH, 1 << max(0, 2 * len(s) - 1).bit_length() >> 6)) for s in sets]
+            long = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, fine)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *fine])))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists(digests, 2), pa.array(signs.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), lists(sketches, SKETCH), long], names=["id", "fp", "sign", "n", "sketch", "fine"])
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>, sign long, n long, sketch array<bigint>")
+    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>, sign long, n long, sketch array<bigint>, fine array<bigint>")
+
+
+def parities(s, words: int):
+    """`words` (a power of two) 64-bit words: whether an odd number of the set's hashes fall on each bit."""
+    import numpy as np
+
+    odd = np.bincount((s & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def prefix(s, common, counts, similarity: float):
@@ -309,16 +318,16 @@ def shared_prefixes(docs: DataFrame, n_docs: int, size: int, similarity: float,
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["key"])
 
     sample = texts.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share).mapInArrow(every, "key long")
-    top = sample.groupBy("key").count().filter("count >= 3").orderBy(F.desc("count"), "key").limit(100_000).collect()
-    known = sorted((r["key"] & (1 << 64) - 1, r["count"]) for r in top)
-    table = ([k for k, _ in known], [c for _, c in known])
-    order = docs.sparkSession.sparkContext.broadcast(table)
+    top = sample.groupBy("key").count().filter("count >= 3").orderBy(F.desc("count"), "key").limit(100_000).toArrow()
+    order = docs.sparkSession.sparkContext.broadcast([top.column(c).to_numpy().tobytes() for c in ("key", "count")])
 
     def keys(parts):
         import numpy as np
         import xxhash
 
-        common, counts = (np.array(x, kind) for x, kind in zip(order.value, (np.uint64, np.int64)))
+        common, counts = (np.frombuffer(x, kind) for x, kind in zip(order.value, (np.uint64, np.int64)))
+        by_key = np.argsort(common)
+        common, counts = common[by_key], counts[by_key]
         for batch in parts:
             got, names = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for t in batch.column("text"):
@@ -352,28 +361,41 @@ def shared_prefixes(docs: DataFrame, n_docs: int, size: int, similarity: float,
     return rows.repartition("key").sortWithinPartitions("key", "name").mapInArrow(shared, "key long, name long")
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """(a, b): each row (key, u, hub) with the one of most hub and with the one before it of the same key."""
+def _stars(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): each row (key, u, hub, n, sketch) with the one of most hub and with the one before it of the same key, if
+    sizes and sketches allow the similarity."""
     import pyarrow as pa
 
     def run(parts):
         import numpy as np
 
-        last, head, before = None, 0, 0
+        held = None  # key, u, n, sketch of the first and of the last row of the run that goes on
         for batch in parts:
             if not len(batch):
                 continue
-            key, u = batch.column("key").to_numpy(), batch.column("u").to_numpy()
-            new = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
-            at = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
-            heads, prev = np.where(at >= 0, u[at], head), np.concatenate([[before], u[:-1]])
-            last, head, before = key[-1], heads[-1], u[-1]
-            two = np.stack([np.tile(u[~new], 2), np.concatenate([heads[~new], prev[~new]])], axis=1)
-            two = np.unique(two, axis=0) if len(two) else two
+            now = [batch.column(c).to_numpy() for c in ("key", "u", "n")] + [batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH)]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            key, u, n, bits = now
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            head = np.maximum.accumulate(np.where(new, np.arange(len(u)), 0))
+            at = np.flatnonzero(~new)
+            two = np.concatenate([np.stack([at, head[at]], axis=1), np.stack([at, at - 1], axis=1)])
+            x, y = two[:, 0], two[:, 1]
+            near = (u[x] != u[y]) & _may_be(n[x], n[y], bits[x] ^ bits[y], similarity)
+            two = np.unique(np.sort(u[two[near]], axis=1)[:, ::-1], axis=0)
+            held = [c[[head[-1], -1]] for c in now]
             yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
 
     spread = rows.repartition("key").sortWithinPartitions("key", F.desc("hub"), "u")
-    return spread.mapInArrow(run, "a long, b long").filter("a <> b")
+    return spread.mapInArrow(run, "a long, b long")
+
+
+def _may_be(n, m, differ, similarity: float):
+    """Whether sets of n and m shingles, whose sketches' exclusive or is `differ`, can be similar enough."""
+    import numpy as np
+
+    sizes = np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+    return sizes & (np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= (1 - similarity) / (1 + similarity) * (n + m) + 1e-9)
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -416,8 +438,6 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
     Of a run of two parts, c1 and c2, only pairs across them."""
     import pyarrow as pa
 
-    share = (1 - similarity) / (1 + similarity)
-
     def run(parts):
         import numpy as np
 
@@ -441,34 +461,43 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
                 keep = starts[-1]
                 starts, stops = starts[:-1], stops[:-1]
             carry = [x[keep:] for x in now] if batch is not None else None
-            for s, e in zip(starts.tolist(), stops.tolist()):
+            p = starts[stops - starts == 2]
+            near = (label[p] != label[p + 1]) & ((c1[p] == c2[p]) | (own[p] != own[p + 1])) & _may_be(n[p], n[p + 1], bits[p] ^ bits[p + 1], similarity)
+            two = np.unique(np.stack([np.maximum(u[p], u[p + 1])[near], np.minimum(u[p], u[p + 1])[near]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
+            longer = stops - starts > 2
+            for s, e in zip(starts[longer].tolist(), stops[longer].tolist()):
                 got = []
                 for i in range(s, e - 1):
                     r = slice(i + 1, e)
-                    near = (label[r] != label[i]) & (np.minimum(n[r], n[i]) >= similarity * np.maximum(n[r], n[i]) - 1e-9)
+                    near = label[r] != label[i]
                     if c1[s] != c2[s]:
                         near &= own[r] != own[i]
                     j = np.flatnonzero(near) + i + 1
                     if len(j):
-                        d = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                        j = j[d <= share * (n[j] + n[i]) + 1e-9]
+                        j = j[_may_be(n[j], n[i], bits[j] ^ bits[i], similarity)]
                         got.append(np.stack([np.maximum(u[j], u[i]), np.minimum(u[j], u[i])], axis=1))
                     if sum(map(len, got)) > 1 << 16 or (i == e - 2 and got):
                         two = np.concatenate(got)
                         got = []
                         yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
 
-    return rows.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2").mapInArrow(run, "a long, b long")
 
 
 def may_be_similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The distinct links (a, b), b the smaller, whose sizes and sketches allow the similarity."""
+    """The distinct links (a, b), b the smaller, whose sizes and fine sketches allow the similarity.
+
+    Of two lengths the longer sketch is folded; similar sets' lengths are at most a factor of two apart."""
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    side = lambda x: sets.select(F.col("u").alias(x), F.struct("n", "sketch").alias(f"s{x}"))
-    both = salted_lookup(salted_lookup(edges, side("a"), "a", "b"), side("b"), "b", "a")
-    differ = F.aggregate(F.zip_with("sa.sketch", "sb.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    side = lambda x: sets.select(F.col("u").alias(x), F.struct("n", "fine").alias(f"s{x}"))
+    both = edges.join(side("a"), "a").join(side("b"), "b")
+    half = lambda f: F.floor(F.size(f) / 2).cast("int")
+    xor = lambda x, y: F.zip_with(x, y, lambda p, q: p.bitwiseXOR(q))
+    folded = lambda f, g: F.when(F.size(f) > F.size(g), xor(F.slice(f, F.lit(1), half(f)), F.slice(f, half(f) + 1, half(f)))).otherwise(F.col(f))
+    differ = F.aggregate(xor(folded("sa.fine", "sb.fine"), folded("sb.fine", "sa.fine")), F.lit(0), lambda acc, x: acc + F.bit_count(x))
     sizes = F.least("sa.n", "sb.n") >= similarity * F.greatest("sa.n", "sb.n") - 1e-9
-    return both.filter(sizes & (differ <= (1 - similarity) / (1 + similarity) * (F.col("sa.n") + F.col("sb.n")) + 1e-9)).select("a", "b")
+    return both.filter(sizes).filter(differ <= (1 - similarity) / (1 + similarity) * (F.col("sa.n") + F.col("sb.n")) + 1e-9).select("a", "b")
 
 
 def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
@@ -482,8 +511,7 @@ def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, simi
     spark = edges.sparkSession
     edges = written(edges, "edges")
     many = edges.groupBy("b").count().filter(F.col("count") > BUCKET).select("b", F.ceil(F.col("count") / BUCKET).cast("int").alias("parts"))
-    dealt = salted_lookup(edges, many, "b", "a").withColumn("part", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int"))
-    dealt = written(dealt.select("a", "b", "part"), "dealt")
+    dealt = edges.join(many, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
     members = dealt.select("b", "part", F.explode(F.array("a", "b")).alias("u")).distinct()
     members = written(members.join(sets.select("u", F.col("id").alias("__id"), F.col("fp").alias("__fp")), "u"), "members")
     few = members.count() <= BROADCAST_ROWS
@@ -540,38 +568,31 @@ def labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar_sets(sets: DataFrame, docs: DataFrame, n_docs: int, size: int, similarity: float, max_bits: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that connect the distinct sets (u, id, fp, sign, n, sketch) as all pairs of this similarity would.
+    """Links (a, b) that connect the distinct sets (u, id, fp, sign, n, sketch, fine) as all pairs of this similarity would.
 
-    First, SimHash: fingerprints within max_bits meet by pigeonhole masks, and their links are checked on the texts. That
-    joins most of each class. The pairs that fingerprints miss share a shingle of both prefixes: rows of a shared shingle
-    are linked to two of them and checked; then every pair of two classes is looked at, shingles of over RUN rows dealt out
-    as pairs of parts.
+    First, SimHash: fingerprints within max_bits meet by pigeonhole masks. The pairs that fingerprints miss share a shingle
+    of both prefixes: rows of a shared shingle are linked to two of them. Both kinds of links are checked on the texts, and
+    join most of each class. Then every pair of two classes in a shared shingle is looked at, shingles of over RUN rows
+    dealt out as pairs of parts.
     """
     check = lambda edges: verified(may_be_similar(edges, sets, similarity), sets, docs, size, similarity, id_col, text_col)
     signs = sets.groupBy("sign").agg(F.min("u").alias("node"))
-    equal = salted_lookup(sets.select("sign", "u"), signs, "sign", "u").filter("u <> node").select(F.col("u").alias("a"), F.col("node").alias("b"))
+    equal = sets.select("sign", "u").join(signs, "sign").filter("u <> node").select(F.col("u").alias("a"), F.col("node").alias("b"))
     hashed = links_within(written(signs.select("node", F.array("sign").alias("fp")), "signs"), max_bits)
-    links = check(equal.unionByName(hashed))
 
     keys = written(shared_prefixes(docs, n_docs, size, similarity, id_col, text_col), "keys")
-    names = sets.select(F.col("fp")[0].alias("name"), "u")
-    rows = written(keys.join(names, "name").select("key", "u"), "shared")
-    runs = rows.groupBy("key").count()
-    hubs = salted_lookup(rows, runs, "key", "u").groupBy("u").agg(F.sum("count").alias("hub"))
-    own = labelled(sets, links)
-    star = _stars(rows.join(hubs, "u"))
-    tell = own.select("u", "label")
-    star = salted_lookup(salted_lookup(star.distinct(), tell.select(F.col("u").alias("a"), F.col("label").alias("la")), "a", "b"), tell.select(F.col("u").alias("b"), F.col("label").alias("lb")), "b", "a")
-    links = links.unionByName(check(star.filter("la <> lb").select("a", "b")))
+    rows = written(keys.join(sets.select(F.col("fp")[0].alias("name"), "u"), "name").select("key", "u"), "shared")
+    hubs = sets.select("u", "n", "sketch").join(rows.groupBy("u").agg(F.count("*").alias("hub")), "u")
+    links = check(equal.unionByName(hashed).unionByName(_stars(rows.join(hubs, "u"), similarity)))
 
     own = written(labelled(sets, links).select("u", "n", "label", "sketch"), "labelled")
     mixed = written(_mixed(rows.join(own.select("u", "label"), "u").select("key", "u", "label")), "mixed")
     parts = mixed.groupBy("key").count().filter(F.col("count") > RUN).select("key", F.ceil(F.col("count") / RUN).cast("int").alias("parts"))
-    dealt = salted_lookup(mixed, parts, "key", "u").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = mixed.join(parts, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")).join(own, "u")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = _pairs(dealt.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "u", "n", "label", "sketch"), similarity)
-    return links.unionByName(verified(pairs, sets, docs, size, similarity, id_col, text_col))
+    return links.unionByName(check(pairs))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -582,12 +603,12 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     """
     with arrow_rows(docs.sparkSession, 500):  # rows with whole texts
         rows = written(set_rows(docs, size, id_col, text_col), "rows")
-        by_set = rows.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("sign", "n", "sketch")))
+        by_set = rows.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("sign", "n", "sketch", "fine")))
         sets = written(by_set.withColumn("u", F.monotonically_increasing_id()), "sets")
         links = similar_sets(sets, docs, rows.count(), size, similarity, max_bits, id_col, text_col)
         least = sets.join(components(links).select(F.col("node").alias("u"), F.col("root").alias("label")), "u", "left").withColumn("label", F.coalesce("label", "u"))
         roots = least.groupBy("label").agg(F.min("id").alias("component"))
-        named = salted_lookup(least.select("fp", "label"), roots, "label", "fp").select("fp", "component")
-        gone = salted_lookup(rows.filter("id IS NOT NULL").select("id", "fp"), named, "fp", "id").filter("id <> component")
+        named = least.select("fp", "label").join(roots, "label").select("fp", "component")
+        gone = rows.filter("id IS NOT NULL").select("id", "fp").join(named, "fp").filter("id <> component")
         gone = written(gone.select(F.col("id").alias(id_col)).distinct(), "gone")
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
