@@ -6,7 +6,9 @@ level, re-encoding a window around each join that grows until its first token ag
 token with the right side. A sequence whose neighbouring pairs all stand as the merge model would put them is the
 model's own output, so agreement on both ends makes the join exact.
 
-Texts with characters beyond U+024F, with controls or with special-token markers take the library's own route.
+Texts with characters beyond U+024F or with controls are normalised and split by the library; if they hold a long run
+without blanks, their pieces are encoded here, long ones by tree concatenation, else all by the library. Texts with
+special-token markers take the library's own route.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ import struct
 
 from pyspark.sql import DataFrame
 
-LONG_WORD = 512
-LEAF = 256
+LONG_WORD = 32
+LEAF = 16
 MEMO_WORDS = 200_000
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]")
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -66,6 +68,7 @@ class WordBpe:
         self.memo: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.missed = 0
+        self.unsplit = re.compile(r"\S{%d}" % (long_word // 4 + 1))  # a character has four bytes at most
 
     def encode(self, text: str):
         """The ids of a whole text as an unsigned numpy array."""
@@ -76,6 +79,9 @@ class WordBpe:
     def encode_bytes(self, text: str) -> bytes:
         import numpy as np
 
+        if self.plain_layout and "<|" not in text and _PLAIN.search(text) and self.unsplit.search(text):
+            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return b"".join([self.piece_bytes(p) for p, _ in cut])
         if not self.plain_layout or _PLAIN.search(text) or "<|" in text:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         chunks, memo = text.lower().split(), self.memo
@@ -105,13 +111,21 @@ class WordBpe:
         """The ids of one word as the pattern cuts them."""
         got = self.parts.get(word)
         if got is None:
-            raw = word.encode()
-            if len(raw) > self.long_word:
-                return self.encode_word(raw).tobytes()
-            if len(self.parts) > self.memo_words:
+            got = self.piece_bytes(word if word.isascii() else word.encode().decode("latin-1").translate(self.chars))
+            if len(word) <= self.long_word:
+                self.parts[word] = got
+        return got
+
+    def piece_bytes(self, s: str) -> bytes:
+        """The ids of one word that is written in byte characters; long ones are joined from leaves."""
+        if len(s) > self.long_word:
+            return self.join_leaves(s).tobytes()
+        key = f"\0{s}"
+        got = self.parts.get(key)
+        if got is None:
+            if len(self.parts) > 2 * self.memo_words:
                 self.parts = {}
-            s = word if word.isascii() else raw.decode("latin-1").translate(self.chars)
-            got = self.parts[word] = self.pack([t.id for t in self.model.tokenize(s)])
+            got = self.parts[key] = self.pack([t.id for t in self.model.tokenize(s)])
         return got
 
     def _runs(self, texts: list[tuple[str, bool]]) -> list[list[int]]:
@@ -126,9 +140,11 @@ class WordBpe:
 
     def encode_word(self, word: bytes):
         """Tree concatenation for one unsplit word."""
+        return self.join_leaves(word.decode("latin-1").translate(self.chars))
+
+    def join_leaves(self, s: str):
         import numpy as np
 
-        s = word.decode("latin-1").translate(self.chars)
         leaves = [s[i : i + self.leaf] for i in range(0, len(s), self.leaf)]
         parts = self._runs([(x, i == len(leaves) - 1) for i, x in enumerate(leaves)])
         while len(parts) > 1:

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of our own in local mode
+    (tests); on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = f"file://{tempfile.gettempdir()}/bylinelake-shared"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
