@@ -178,8 +178,18 @@ def parse_program_authors(text: Column) -> Column:
     return F.aggregate(parts, empty, add)
 
 
+#: Names of groups, and traces of broken encodings or control characters in names. Fixed values.
+GROUP_NAME = r"(?i)collaboration|consortium|\bteam\b|working group|study group|\bcommittee\b|\bthe\b.+\b(?:project|survey|experiment|mission)\b|^\(.*\)$"
+GARBLED = r"\x{FFFD}|\x{C3}[\x{80}-\x{BF}\x{A1}-\x{FF}]|\x{E2}\x{20AC}|\x{C2}[\x{A0}-\x{BF}]|&#x?[0-9a-fA-F]+;|&[a-z]{2,6};|[\x00-\x08\x0b-\x1f]"
+
+
 def is_group_name(name: Column) -> Column:
-    return F.coalesce(name.rlike(r"(?i)\b(collaboration|consortium|working group|committee|team|project)\b"), F.lit(False))
+    return F.coalesce(name.rlike(GROUP_NAME), F.lit(False))
+
+
+def is_garbled(name: Column) -> Column:
+    """Broken encodings, entities or control characters, or a name without any letter; an empty name is not garbled."""
+    return F.coalesce(name.rlike(GARBLED) | ((name != "") & ~name.rlike(r"\p{L}")), F.lit(False))
 
 
 def is_biennial(years: Column) -> Column:

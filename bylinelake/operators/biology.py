@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .credit import NON_RESEARCH
-
 #: Types left out here, compared as they are written. Fixed values.
-BIOLOGY_NON_RESEARCH = (*NON_RESEARCH, "note")
+BIOLOGY_NON_RESEARCH = ("editorial", "erratum", "letter", "book-review", "note")
 
 
 def research_article(kind: Column, doi: Column, venue: Column, references: Column, first_page: Column, last_page: Column) -> Column:
-    """Whether a work is a research article; journals with much front matter are judged by references and pages.
+    """Whether a work is a research article; two journals with much front matter are judged by references and pages.
 
-    Science: no references, or at most two pages with fewer than ten references, is front matter unless the page begins
-    with e. Cell: no references, or a single page (not .e1) with fewer than five, is front matter.
+    They are known by venue key or DOI. With references counted as none it is front matter. Science: a first or last page
+    with e makes an article, else at most two pages on with under ten references (or an unknown number) is front matter.
+    Cell: one page that is not .e1 with under five (or an unknown number) is front matter.
     """
-    refs = F.coalesce(references, F.lit(0))
-    a, b = first_page.try_cast("int"), F.coalesce(last_page.try_cast("int"), first_page.try_cast("int"))
-    pages = b - a + 1
-    electronic = F.coalesce(F.lower(first_page).startswith("e"), F.lit(False))
-    science = (refs == 0) | (~electronic & F.coalesce(pages <= 2, F.lit(False)) & (refs < 10))
-    single = F.coalesce(first_page == last_page, F.lit(True)) & ~F.coalesce(last_page.endswith(".e1"), F.lit(False))
-    cell = (refs == 0) | (single & (refs < 5))
-    front = F.when(F.lower(venue) == "science", science).when(F.lower(venue) == "cell", cell).otherwise(False)
-    news = F.coalesce(F.lower(doi).rlike(r"10\.1038/d\d+"), F.lit(False))
-    return ~F.coalesce(kind, F.lit("")).isin(*BIOLOGY_NON_RESEARCH) & ~news & ~front
+    text = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    d, v, a, b = F.lower(text(doi)), F.coalesce(venue, F.lit("")), text(first_page), text(last_page)
+    none, few = F.coalesce(references == 0, F.lit(False)), lambda n: references.isNull() | (references < n)
+    short = a.rlike("^[0-9]+$") & b.rlike("^[0-9]+$") & F.coalesce(b.try_cast("decimal(38,0)") - a.try_cast("decimal(38,0)") <= 2, F.lit(False))
+    in_science, in_cell = (v == "science") | d.contains("10.1126/science"), (v == "cell") | d.contains("10.1016/j.cell")
+    electronic = a.startswith("e") | b.startswith("e")
+    one_page = (a != "") & (a == b) & ~a.endswith(".e1")
+    cell_front = in_cell & (none | (one_page & few(5)))
+    verdict = F.when(F.coalesce(kind, F.lit("")).isin(*BIOLOGY_NON_RESEARCH) | d.rlike(r"10\.1038/d[0-9]+"), False)
+    return verdict.when(in_science & none, False).when(in_science & electronic, True).when(in_science & short & few(10), False).otherwise(~cell_front)
 
 
 def credit(slots: DataFrame, venue_areas: DataFrame, rollup: DataFrame, allowed: DataFrame | None = None, default_area: str = "elite_bio", edu_only: bool = True) -> dict[str, DataFrame]:
@@ -37,23 +36,29 @@ def credit(slots: DataFrame, venue_areas: DataFrame, rollup: DataFrame, allowed:
     venue table has the first area of a venue only.
     """
     one = slots.withColumn("i", F.explode("institutions")).select("work", "venue", "year", "n_slots", "slot", "i.*")
-    up = one.join(F.broadcast(rollup), one["id"] == rollup["child"], "left")
+    up = one.join(rollup, one["id"] == rollup["child"], "left")
     up = up.withColumn("rolled", F.col("parent").isNotNull()).withColumn("name", F.coalesce("parent_name", "name")).withColumn("id", F.coalesce("parent", "id")).drop("child", "parent", "parent_name")
     if edu_only:
         listed = F.lit(False)
         if allowed is not None:
-            up = up.join(F.broadcast(allowed.select(F.col("id"), F.lit(True).alias("__ok"))), "id", "left")
+            up = up.join(allowed.select(F.col("id"), F.lit(True).alias("__ok")), "id", "left")
             listed = F.col("__ok").isNotNull()
         up = up.filter((F.col("type") == "education") | listed | F.col("rolled"))
     kept = up.groupBy("work", "venue", "year", "n_slots", "slot", "id").agg(F.min("name").alias("name"))
     each = kept.groupBy("work", "slot").agg(F.count("*").alias("__k"))
     shares = kept.join(each, ["work", "slot"]).withColumn("share", F.lit(1.0) / F.col("n_slots") / F.col("__k"))
     areas = venue_areas.groupBy("venue").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "area"))), lambda x: x["area"]).alias("areas"))
-    placed = shares.join(F.broadcast(areas), "venue", "left").withColumn("areas", F.coalesce("areas", F.array(F.lit(default_area))))
+    placed = shares.join(areas, "venue", "left").withColumn("areas", F.coalesce("areas", F.array(F.lit(default_area))))
     sums = lambda df, *by: df.groupBy(*by).agg(F.count("*").alias("pub_count"), F.round(F.sum("share"), 4).alias("adjusted_count"))
     return {"area": sums(placed.withColumn("area", F.explode("areas")), "id", "area", "year"), "venue": sums(placed.withColumn("area", F.get("areas", F.lit(0))), "id", "area", "venue", "year")}
 
 
+def summary(area: DataFrame) -> DataFrame:
+    """All years of the area facts together, and the ordinal rank by area: credit descending, then id."""
+    total = area.groupBy("area", "id").agg(F.round(F.sum("adjusted_count"), 4).alias("adjusted_count"), F.sum("pub_count").alias("pub_count"))
+    return total.withColumn("rank", F.row_number().over(Window.partitionBy("area").orderBy(F.desc("adjusted_count"), "id")))
+
+
 def package(edu: DataFrame, everyone: DataFrame) -> DataFrame:
     """Institutions of both modes, the education row first where both have one."""
     both = edu.withColumn("__m", F.lit(0)).unionByName(everyone.withColumn("__m", F.lit(1)))

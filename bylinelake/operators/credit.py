@@ -20,9 +20,11 @@ WORK_SCHEMA = (
 
 
 def first_owner(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of each key in the given order; the others are replays."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """The first row of each key in the given order; the others are replays. Partial minima, so a hot key is no hot task."""
+    sorts = F.struct(*(c if isinstance(c, Column) else F.col(c) for c in order))
+    by = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    first = rows.groupBy(*by).agg(F.min_by(F.struct(*(F.col(c) for c in rows.columns)), sorts).alias("__row"))
+    return first.select("__row.*")
 
 
 def is_research(kind: Column, non_research: tuple[str, ...] = NON_RESEARCH) -> Column:
@@ -58,20 +60,21 @@ def with_fallback(slots: DataFrame, mapping: DataFrame) -> DataFrame:
     return slots.join(lists, ["work_uid", "slot"], "left").withColumn("credited", F.when(bare, F.col("mapped")).otherwise(own)).drop("mapped")
 
 
-def alias_closure(aliases: DataFrame, depth: int = 32) -> DataFrame:
+def alias_closure(aliases: DataFrame) -> DataFrame:
     """(duplicate_id, canonical_id, canonical_name): chains followed to their end, with the last label on the way.
 
-    A cycle is an error. Each round doubles the length of the chains followed.
+    Each round doubles the length of the chains followed, so n aliases take log2(n) rounds; what is open after them goes in
+    a circle, which is an error. A round is kept in memory and on disk, so that plans do not grow with the rounds.
     """
-    now = aliases.select("duplicate_id", "canonical_id", F.nullif(F.col("canonical_name"), F.lit("")).alias("canonical_name"))
-    for _ in range(depth):
+    now = aliases.select("duplicate_id", "canonical_id", F.nullif(F.col("canonical_name"), F.lit("")).alias("canonical_name")).persist()
+    for _ in range(now.count().bit_length() + 1):
         nxt = now.select(F.col("duplicate_id").alias("canonical_id"), F.col("canonical_id").alias("__to"), F.col("canonical_name").alias("__name"))
         both = now.join(nxt, "canonical_id", "left")
-        if both.filter(F.col("__to") == F.col("duplicate_id")).limit(1).count() or both.filter("duplicate_id = canonical_id").limit(1).count():
-            raise ValueError("alias cycle")
-        open_ = both.filter("__to IS NOT NULL").limit(1).count()
-        now = both.select("duplicate_id", F.coalesce("__to", "canonical_id").alias("canonical_id"), F.coalesce("__name", "canonical_name").alias("canonical_name"))
-        if not open_:
+        then = both.select("duplicate_id", F.coalesce("__to", "canonical_id").alias("canonical_id"), F.coalesce("__name", "canonical_name").alias("canonical_name"), F.col("__to").isNotNull().alias("__open")).persist()
+        ends = not then.filter("__open").limit(1).count()
+        now.unpersist()
+        now = then.drop("__open")
+        if ends:
             return now
     raise ValueError("alias cycle")
 
@@ -91,7 +94,8 @@ def shares(slots: DataFrame, work: list[str], slot: list[str], institution: str,
 
 def institution_facts(credit: DataFrame, by: list[str], work: list[str]) -> DataFrame:
     """pub_count (distinct works) and adjusted_count (credit) by the given columns."""
-    return credit.groupBy(*by).agg(F.count_distinct(*work).alias("pub_count"), F.sum("share").alias("adjusted_count"))
+    once = credit.groupBy(*by, *work).agg(F.sum("share").alias("share"))  # no shuffle where rows are partitioned by work
+    return once.groupBy(*by).agg(F.count("*").alias("pub_count"), F.sum("share").alias("adjusted_count"))
 
 
 def author_facts(credit: DataFrame, by: list[str]) -> DataFrame:
@@ -120,7 +124,7 @@ def aggregate_works(works: DataFrame, venue_area: DataFrame, mapping: DataFrame,
     from ..functions.identity import institution_id, record_key
 
     area = venue_area.groupBy("venue").agg(F.max_by("area", "position").alias("area"))
-    keyed = works.join(F.broadcast(area), "venue").withColumn("record_key", record_key(F.col("doi"), F.col("id"), F.col("openalex_id"), F.col("s2_corpusid"), F.col("title"), F.col("venue"), F.col("year_dir")))
+    keyed = works.join(area, "venue").withColumn("record_key", record_key(F.col("doi"), F.col("id"), F.col("openalex_id"), F.col("s2_corpusid"), F.col("title"), F.col("venue"), F.col("year_dir")))
     kept = owned_research(keyed, ["venue", "record_key"], ["year_dir", "line_no"], "type", venue_excluded, excluded, ["venue", "record_key"])
     kept = kept.withColumn("work_uid", F.concat_ws("|", "venue", "record_key"))
     slots = with_fallback(bylines(kept), mapping)

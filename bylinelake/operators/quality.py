@@ -60,18 +60,33 @@ def upper_median(values: Column) -> Column:
     return F.get(s, F.floor(F.size(s) / 2).cast("int"))
 
 
-def local_outliers(rows: DataFrame, key: str, year: str, value: str, reach: int = 6, most: int = 6, spike: float = 2.0, beside: float = 1.5, dip: float = 0.5, ramp: int = 2) -> DataFrame:
-    """Spikes and dips against the median of the nearest other years (at most `most`, within `reach`; the earlier of two as
-    near first). A spike also stands out from the adjacent years; a dip is not looked for in the first `ramp` years."""
-    a = rows.select(key, year, value)
-    b = rows.select(F.col(key).alias("__k"), F.col(year).alias("__y"), F.col(value).alias("__v"))
-    near = a.join(b, (F.col(key) == F.col("__k")) & (F.col(year) != F.col("__y")) & (F.abs(F.col(year) - F.col("__y")) <= reach))
-    w = Window.partitionBy(key, year).orderBy(F.abs(F.col(year) - F.col("__y")), "__y")
-    norm = near.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most).groupBy(key, year).agg(F.median("__v").alias("norm"), F.max(F.when(F.abs(F.col(year) - F.col("__y")) == 1, F.col("__v"))).alias("adjacent"))
-    order = F.row_number().over(Window.partitionBy(key).orderBy(year))
-    out = a.withColumn("__i", order).join(norm, [key, year])
-    kind = F.when((F.col(value) >= spike * F.col("norm")) & (F.col(value) >= beside * F.coalesce("adjacent", F.lit(0))), "spike").when((F.col(value) <= dip * F.col("norm")) & (F.col("__i") > ramp), "dip")
-    return out.withColumn("kind", kind).filter("kind IS NOT NULL").select(key, year, value, "norm", "kind")
+def local_outliers(rows: DataFrame, key: str, year: str, value: str, reach: int = 6, most: int = 6, spike: float = 2.0, beside: float = 1.5, dip: float = 0.5, ramp: int = 2, least_years: int = 3, least_norm: float = 20, last: int | None = None) -> DataFrame:
+    """Spikes and dips against the median of the nearest other years: at most `most`, the earlier of two as near first, of
+    which those within `reach` count, and `least_years` there must be; medians under `least_norm` are not judged.
+
+    A spike is also `beside` times the next year that is present, else the previous one. A dip is not looked for in the
+    first `ramp` years. Years after `last` are unfinished: they are no neighbours, have no dips, and are held against the
+    `reach` years up to `last` and its latest year. One shuffle; a key has as many rows as years.
+    """
+    ends = F.lit(last) if last is not None else F.lit(9999)
+    g = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(year).alias("y"), F.col(value).cast("double").alias("v")))).alias("__ys"))
+    done = F.filter("__ys", lambda o: o["y"] <= ends)
+    one = g.withColumn("__done", done).select(key, "__done", F.explode("__ys").alias("__x"))
+    x = F.col("__x")
+    others = F.array_sort(F.transform(F.filter("__done", lambda o: o["y"] != x["y"]), lambda o: F.struct(F.abs(o["y"] - x["y"]).alias("d"), o["y"].alias("y"), o["v"].alias("v"))))
+    finished = F.filter(F.slice(others, 1, most), lambda o: o["d"] <= reach)
+    recent = F.filter("__done", lambda o: o["y"] > ends - reach)
+    late = x["y"] > ends
+    sorts = lambda a: F.array_sort(F.transform(a, lambda o: o["v"]))
+    near = one.withColumn("__near", F.when(late, sorts(recent)).otherwise(sorts(finished)))
+    at = lambda i: F.get("__near", F.floor(i).cast("int"))
+    near = near.filter(F.size("__near") >= least_years).withColumn("norm", (at((F.size("__near") - 1) / 2) + at(F.size("__near") / 2)) / 2)
+    later, earlier = F.filter("__done", lambda o: o["y"] > x["y"]), F.filter("__done", lambda o: o["y"] < x["y"])
+    near = near.withColumn("__beside", F.coalesce(F.get(later, F.lit(0))["v"], F.get(F.reverse(earlier), F.lit(0))["v"])).withColumn("__before", F.size(earlier))
+    high = (x["v"] >= spike * F.col("norm")) & (F.col("__beside").isNull() | (x["v"] >= beside * F.col("__beside")))
+    low = ~late & (x["v"] <= dip * F.col("norm")) & (F.col("__before") >= ramp)
+    out = near.filter(F.col("norm") >= least_norm).withColumn("kind", F.when(high, "spike").when(low, "dip")).filter("kind IS NOT NULL")
+    return out.select(key, x["y"].alias(year), x["v"].alias(value), "norm", "kind")
 
 
 def cliffs(rows: DataFrame, key: str, year: str, value: str, least_before: float = 3, drop: float = 0.8, most_after: float = 1, least_total: float = 10, least_years: int = 3) -> DataFrame:

@@ -133,16 +133,73 @@ def dense_start(totals: DataFrame, keep: int, floor: float = 0.05) -> DataFrame:
     return dense.agg(F.least(F.min("year"), F.lit(keep)).alias("dense_start"))
 
 
-def search(rows: DataFrame, query: str, name: str = "name", aliases: dict[str, str] | None = None) -> DataFrame:
-    """Names by tier: 0 alias, 1 initials, 2 start of a word, 3 start of the initials, 4 anywhere. A tier is kept if the
-    best is no better than its class: alias hits alone, else tiers up to 3, else 4."""
-    q = " ".join(query.lower().split())
-    n = F.lower(F.col(name))
-    initials = F.array_join(F.transform(F.filter(F.split(n, r"[^a-z0-9]+"), lambda w: (w != "") & ~w.isin("of", "the", "and", "at", "for", "in")), lambda w: F.substring(w, F.lit(1), F.lit(1))), "")
+#: Abbreviations that people type, and what the name then contains. Fixed values.
+ABBREVIATIONS = {
+    "mit": "massachusetts institute of technology",
+    "cmu": "carnegie mellon university",
+    "uiuc": "university of illinois urbana-champaign",
+    "ucb": "university of california, berkeley",
+    "berkeley": "university of california, berkeley",
+    "ucla": "university of california, los angeles",
+    "ucsd": "university of california san diego",
+    "ucsb": "university of california, santa barbara",
+    "uci": "university of california, irvine",
+    "ucd": "university of california, davis",
+    "ucsc": "university of california, santa cruz",
+    "ucr": "university of california, riverside",
+    "usc": "university of southern california",
+    "nyu": "new york university",
+    "gatech": "georgia institute of technology",
+    "gt": "georgia institute of technology",
+    "vt": "virginia tech",
+    "tamu": "texas a&m university",
+    "utaustin": "university of texas at austin",
+    "ut": "university of texas at austin",
+    "umd": "university of maryland, college park",
+    "umich": "university of michigan",
+    "uw": "university of washington",
+    "unc": "university of north carolina at chapel hill",
+    "upenn": "university of pennsylvania",
+    "penn": "university of pennsylvania",
+    "psu": "pennsylvania state university",
+    "asu": "arizona state university",
+    "osu": "ohio state university",
+    "caltech": "california institute of technology",
+    "eth": "eth zurich",
+    "epfl": "école polytechnique fédérale de lausanne",
+    "nus": "national university of singapore",
+    "ntu": "nanyang technological university",
+    "pku": "peking university",
+    "zju": "zhejiang university",
+    "sjtu": "shanghai jiao tong university",
+    "ustc": "university of science and technology of china",
+    "hku": "university of hong kong",
+    "cuhk": "chinese university of hong kong",
+    "hkust": "hong kong university of science and technology",
+    "ucl": "university college london",
+    "tum": "technical university of munich",
+    "snu": "seoul national university",
+    "kaist": "korea advanced institute of science and technology",
+}
+
+
+def match_tier(name: Column, query: str, aliases: dict[str, str] | None = None) -> Column:
+    """0 the name contains what the query abbreviates, 1 the query is its capitals' initials, 2 a word begins with it, 3 the
+    initials begin with it, 4 anywhere; null for no match. An empty query matches everything at 0."""
+    q = query.strip().lower()
+    if not q:
+        return F.lit(0)
+    n = F.lower(name)
+    initials = F.lower(F.array_join(F.regexp_extract_all(name, F.lit(r"\b[A-Z]"), F.lit(0)), ""))
     alias = (aliases or {}).get(q)
-    tier = F.when(n == F.lit(alias.lower()), 0) if alias else F.when(F.lit(False), 0)
-    tier = tier.when(initials == q, 1).when(F.contains(F.concat(F.lit(" "), F.regexp_replace(n, r"[^a-z0-9]+", " ")), F.lit(" " + q)), 2).when(initials.startswith(q), 3).when(n.contains(q), 4)
-    found = rows.withColumn("tier", tier).filter("tier IS NOT NULL")
+    tier = F.when(n.contains(alias.lower()), 0) if alias else F.when(F.lit(False), 0)
+    tier = tier.when(initials == q, 1).when(n.startswith(q) | n.contains(" " + q), 2)
+    return (tier.when(initials.startswith(q), 3) if len(q) > 1 else tier).when(n.contains(q), 4)
+
+
+def search(rows: DataFrame, query: str, name: str = "name", aliases: dict[str, str] | None = None) -> DataFrame:
+    """rows by match_tier(), with the tiers that the best one leaves: alias hits alone, else tiers up to 3, else 4."""
+    found = rows.withColumn("tier", match_tier(F.col(name), query, aliases)).filter("tier IS NOT NULL")
     best = found.agg(F.min("tier").alias("__best"))
     limit = F.when(F.col("__best") == 0, 0).when(F.col("__best") <= 3, 3).otherwise(4)
     return found.crossJoin(F.broadcast(best)).filter(F.col("tier") <= limit).drop("__best")

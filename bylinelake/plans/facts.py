@@ -5,10 +5,12 @@ Institution: supplier. Author: part. Area: customer segment. Venue: order priori
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import credit, ranking
+from ..functions.identity import institution_id
+from ..operators import biology, credit, ranking
+from ..sources.files import ranking_lines, serving_rows
 from .registry import load, query
 
 YEARS = (1996, 2000)
@@ -19,10 +21,11 @@ def slots(spark: SparkSession, d: str) -> DataFrame:
     """A row a byline slot, with the number of slots of its work."""
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").cast("long").alias("year"))
     lines = load(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
-    n = lines.groupBy("l_orderkey").agg(F.count("*").alias("n_slots"))
     c = load(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("area"))
-    works = o.join(n, o["o_orderkey"] == n["l_orderkey"]).drop("l_orderkey").join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return works.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("work"), "area", F.col("o_orderpriority").alias("venue"), "year", F.col("o_orderstatus").alias("status"), "n_slots", F.col("l_suppkey").alias("institution"), F.col("l_partkey").alias("author"))
+    works = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = works.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))  # from here on partitioned by work
+    joined = joined.withColumn("n_slots", F.count("*").over(Window.partitionBy("o_orderkey")))
+    return joined.select(F.col("o_orderkey").alias("work"), "area", F.col("o_orderpriority").alias("venue"), "year", F.col("o_orderstatus").alias("status"), "n_slots", F.col("l_suppkey").alias("institution"), F.col("l_partkey").alias("author"))
 
 
 def credited(spark: SparkSession, d: str) -> DataFrame:
@@ -87,17 +90,75 @@ def credit_multi_inst(spark, d):
     return _rounded(credit.institution_facts(credit.array_shares(rows, "i", "n_slots"), ["institution", "area", "year"], ["work"]), "adjusted_count")
 
 
-@query(f"""WITH {S}, x AS (SELECT s.*, s_name, CASE WHEN s_acctbal >= 0 THEN institution END AS own FROM s JOIN supplier ON s_suppkey = institution),
-m AS (SELECT s_name AS raw, s_suppkey + 500000 AS mapped FROM supplier WHERE s_acctbal > -500)
-SELECT coalesce(own, mapped) AS institution, area, year, count(DISTINCT work) AS pub_count, round(sum(share), 6) AS adjusted_count FROM x LEFT JOIN m ON raw = s_name WHERE coalesce(own, mapped) IS NOT NULL GROUP BY ALL""")
+def nested_works(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as nested works: a line item is a byline slot, its supplier the institution, or only a raw string (the
+    supplier's name) where the supplier's balance is negative."""
+    sup = load(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey").join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+    inst = F.struct(F.concat(F.lit("I"), F.col("l_suppkey")).alias("id"), F.col("s_name").alias("display_name"), F.lit(None).cast("string").alias("country_code"), F.lit("education").alias("type"), F.array().cast("array<string>").alias("lineage"))
+    none = F.array().cast("array<struct<id:string,display_name:string,country_code:string,type:string,lineage:array<string>>>")
+    own = F.col("s_acctbal") >= 0
+    slot = F.struct(F.col("l_partkey").cast("string").alias("author_id"), F.lit("").alias("author_name"), F.when(own, F.array(inst)).otherwise(none).alias("institutions"), F.when(own, F.array().cast("array<string>")).otherwise(F.array("s_name")).alias("raw_affiliations"), F.lit("").alias("affiliation_source"))
+    bylines = lines.groupBy("l_orderkey").agg(F.collect_list(slot).alias("authorships"))
+    o = load(spark, d, "orders").join(bylines, F.col("o_orderkey") == F.col("l_orderkey"))
+    year = F.year("o_orderdate")
+    text = lambda x: F.lit(x).cast("string")
+    return o.select(
+        F.concat(F.lit("W"), F.col("o_orderkey")).alias("id"), text(None).alias("openalex_id"), text(None).alias("s2_corpusid"), text(None).alias("doi"), text("").alias("title"), year.alias("publication_year"),
+        F.when(F.col("o_orderstatus") == "P", "editorial").otherwise("article").alias("type"), F.col("o_orderpriority").alias("venue"), year.alias("year_dir"), F.col("o_orderkey").alias("line_no"), "authorships",
+    )
+
+
+def raw_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """Names of suppliers with a balance over -500 are mapped for sure, others wait for review."""
+    s = load(spark, d, "supplier")
+    return s.select(F.col("s_name").alias("raw_affiliation"), F.when(F.col("s_acctbal") > -500, "auto").otherwise("review").alias("status"), F.concat(F.lit("I"), F.col("s_suppkey") + 500000).alias("institution_id"), F.col("s_name").alias("institution_name"), F.lit("education").alias("institution_type"))
+
+
+RAW = f"""{S}, x AS (SELECT s.*, s_name, CASE WHEN s_acctbal >= 0 THEN institution END AS own FROM s JOIN supplier ON s_suppkey = institution),
+m AS (SELECT s_name AS raw, s_suppkey + 500000 AS mapped FROM supplier WHERE s_acctbal > -500),
+b AS (SELECT x.*, coalesce(own, mapped) AS inst FROM x LEFT JOIN m ON raw = s_name)"""
+LONG_ID = "'https://openalex.org/I' || inst"
+
+
+@query(f"WITH {RAW} SELECT {LONG_ID} AS institution, venue, year, count(DISTINCT work) AS pub_count, round(sum(share), 6) AS adjusted_count FROM b WHERE inst IS NOT NULL GROUP BY ALL")
 def credit_raw_fallback(spark, d):
     """Slots without institution fall back to what their raw string maps to; unmapped parts are lost."""
-    sup = load(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    mapping = sup.filter("s_acctbal > -500").select(F.col("s_name").alias("raw"), (F.col("s_suppkey") + 500000).alias("mapped"))
-    rows = slots(spark, d).join(sup, F.col("institution") == F.col("s_suppkey")).join(mapping, F.col("raw") == F.col("s_name"), "left")
-    own = F.when(F.col("s_acctbal") >= 0, F.col("institution"))
-    rows = rows.withColumn("i", F.array(F.coalesce(own, "mapped"))).drop("institution")
-    return _rounded(credit.institution_facts(credit.array_shares(rows, "i", "n_slots"), ["institution", "area", "year"], ["work"]), "adjusted_count")
+    rows = credit.bylines(nested_works(spark, d).withColumn("work_uid", F.col("id")))
+    one = credit.with_fallback(rows, raw_mapping(spark, d)).withColumn("i", F.transform("credited", lambda x: institution_id(x["id"])))
+    return _rounded(credit.institution_facts(credit.array_shares(one.select("work_uid", "venue", F.col("publication_year").cast("long").alias("year"), "n_slots", "i"), "i", "n_slots"), ["institution", "venue", "year"], ["work_uid"]), "adjusted_count")
+
+
+FULL = f"""WITH RECURSIVE {RAW}, a(dup, can) AS (SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 7 THEN s_suppkey - 1 ELSE s_suppkey - 3 END FROM supplier WHERE s_suppkey % 10 IN (6, 7)),
+walk(dup, can) AS (SELECT dup, can FROM a UNION SELECT w.dup, a.can FROM walk w JOIN a ON w.can = a.dup), final AS (SELECT dup, can FROM walk WHERE can NOT IN (SELECT dup FROM a)),
+c AS (SELECT work, venue, year, author, share, 'https://openalex.org/I' || coalesce(can, inst) AS institution_id, CASE WHEN venue IN ('1-URGENT', '2-HIGH') THEN 'fast' ELSE 'slow' END AS area
+ FROM b LEFT JOIN final ON dup = inst WHERE inst IS NOT NULL AND status <> 'P' AND venue <> '5-LOW' AND NOT (venue = '3-MEDIUM' AND work % 7 = 0))"""
+
+
+def _aggregated(spark, d) -> dict[str, DataFrame]:
+    """credit.aggregate_works over all of it: an unknown venue, a venue under two areas, exclusions, raw strings, aliases."""
+    works = nested_works(spark, d)
+    areas = spark.createDataFrame([("1-URGENT", "slow", 0), ("1-URGENT", "fast", 1), ("2-HIGH", "fast", 2), ("3-MEDIUM", "slow", 3), ("4-NOT SPECIFIED", "slow", 4)], "venue string, area string, position int")
+    ids = load(spark, d, "supplier").filter((F.col("s_suppkey") % 10).isin(6, 7)).select("s_suppkey")
+    name = lambda c: F.concat(F.lit("I"), c)
+    aliases = ids.select(name(F.col("s_suppkey")).alias("duplicate_id"), name(F.col("s_suppkey") - F.when(F.col("s_suppkey") % 10 == 7, 1).otherwise(3)).alias("canonical_id"), F.lit("").alias("canonical_name"))
+    out = works.filter("venue = '3-MEDIUM' AND line_no % 7 = 0").select("venue", F.concat(F.lit("openalex:"), F.col("id")).alias("record_key"))
+    return credit.aggregate_works(works, areas, raw_mapping(spark, d), aliases, venue_excluded=out)
+
+
+@query(f"{FULL} SELECT institution_id, area, year, count(DISTINCT work) AS pub_count, round(sum(share), 6) AS adjusted_count FROM c GROUP BY ALL")
+def aggregate_area_year(spark, d):
+    return _rounded(_aggregated(spark, d)["institution_area_year"].withColumn("year", F.col("year").cast("long")), "adjusted_count")
+
+
+@query(f"{FULL} SELECT institution_id, area, venue, year, count(DISTINCT work) AS pub_count, round(sum(share), 6) AS adjusted_count FROM c GROUP BY ALL")
+def aggregate_venue_year(spark, d):
+    return _rounded(_aggregated(spark, d)["institution_venue_year"].withColumn("year", F.col("year").cast("long")), "adjusted_count")
+
+
+@query(f"{FULL} SELECT CAST(author AS VARCHAR) AS author_id, institution_id, area, year, round(sum(share), 6) AS adjusted_count FROM c GROUP BY ALL")
+def aggregate_author(spark, d):
+    return _rounded(_aggregated(spark, d)["author"].withColumn("year", F.col("year").cast("long")), "adjusted_count")
 
 
 @query(f"WITH {S} SELECT count(DISTINCT work) AS works, count(*) AS slots, count(CASE WHEN status = 'P' THEN 1 END) AS non_research_slots, (SELECT count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) AS empty_bylines, round(sum(share), 4) AS credit FROM s")
@@ -114,21 +175,49 @@ def last_observed(spark, d):
     return last.join(rows.groupBy("institution").agg(F.min_by("author", F.struct("work", "author")).alias("first_author")), "institution")
 
 
-@query(f"""WITH {S}, x AS (SELECT DISTINCT work, area, year, institution, author, status FROM s WHERE status <> 'P'), g AS (SELECT institution, area, year, count(*) AS slots, sum(1.0 / n) AS adj FROM (SELECT s.*, count(*) OVER (PARTITION BY work) AS n FROM s) WHERE status <> 'P' GROUP BY ALL)
-SELECT institution, area, year, slots AS pub_count, round(CAST(adj AS DOUBLE), 4) AS adjusted_count FROM g""")
+#: A line's two numbers and the order's comment stand for references and pages; the last row reaches every branch once.
+BIO = """b AS (SELECT o_orderkey AS work, o_orderpriority AS venue, year(o_orderdate) AS year, l_suppkey AS inst, 1.0 / count(*) OVER (PARTITION BY o_orderkey) AS share FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+k AS (SELECT b.*, CASE WHEN inst = 2 THEN 1 ELSE inst END AS id FROM b JOIN supplier ON s_suppkey = inst WHERE s_acctbal >= 0 OR inst IN (2, 4)),
+va(venue, area) AS (VALUES ('1-URGENT', 'x'), ('1-URGENT', 'y'), ('2-HIGH', 'x')), g AS (SELECT 'I' || k.id AS id, coalesce(area, 'elite_bio') AS area, k.venue, year, share FROM k LEFT JOIN va USING (venue))"""
+
+
+def _biology(spark, d) -> dict[str, DataFrame]:
+    works = nested_works(spark, d).select(F.col("line_no").alias("work"), "venue", F.col("publication_year").cast("long").alias("year"), "authorships")
+    slots = credit.bylines(works).select("work", "venue", "year", "n_slots", "slot", F.coalesce(F.get("institutions", F.lit(0))["id"], F.lit("")).alias("own"), "author_id", F.get("raw_affiliations", F.lit(0)).alias("raw"))
+    named = load(spark, d, "supplier").select(F.col("s_name").alias("raw"), F.concat(F.lit("I"), F.col("s_suppkey")).alias("by_name"))
+    slots = slots.join(named, "raw", "left")
+    one = F.struct(F.coalesce(F.nullif("own", F.lit("")), "by_name").alias("id"), F.lit("").alias("name"), F.when(F.col("own") != "", "education").otherwise("company").alias("type"), F.lit("").alias("country"))
+    areas = spark.createDataFrame([("1-URGENT", "x", 0), ("1-URGENT", "y", 1), ("2-HIGH", "x", 2)], "venue string, area string, position int")
+    rollup = spark.createDataFrame([("I2", "I1", "One")], "child string, parent string, parent_name string")
+    return biology.credit(slots.withColumn("institutions", F.array(one)).select("work", "venue", "year", "n_slots", "slot", "institutions"), areas, rollup, spark.createDataFrame([("I4",)], "id string"))
+
+
+@query(f"WITH {BIO} SELECT id, area, year, count(*) AS pub_count, round(sum(share), 4) AS adjusted_count FROM g GROUP BY ALL")
 def bio_credit(spark, d):
-    """The second dialect: papers are counted once a credited slot."""
-    rows = credited(spark, d).filter(credit.is_research(F.col("status"), ("p",)))
-    return _rounded(rows.groupBy("institution", "area", "year").agg(F.count("*").alias("pub_count"), F.sum("share").alias("adjusted_count")), "adjusted_count", digits=4)
+    """The second dialect: areas of a venue, roll-up, allowed institutions; papers are counted once a credited slot."""
+    return _biology(spark, d)["area"]
 
 
-@query(f"""WITH {S}, g AS (SELECT area, institution, round(sum(share), 4) AS adjusted_count, count(*) AS pub_count FROM s GROUP BY ALL)
-SELECT *, row_number() OVER (PARTITION BY area ORDER BY adjusted_count DESC, institution) AS rank FROM g""")
+@query(f"WITH {BIO}, t AS (SELECT id, area, year, round(sum(share), 4) AS a, count(*) AS p FROM g GROUP BY ALL), u AS (SELECT area, id, round(sum(a), 4) AS adjusted_count, CAST(sum(p) AS BIGINT) AS pub_count FROM t GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY area ORDER BY adjusted_count DESC, id) AS rank FROM u")
 def bio_summary(spark, d):
-    from pyspark.sql import Window
-
-    g = _rounded(credited(spark, d).groupBy("area", "institution").agg(F.sum("share").alias("adjusted_count"), F.count("*").alias("pub_count")), "adjusted_count", digits=4)
-    return g.withColumn("rank", F.row_number().over(Window.partitionBy("area").orderBy(F.desc("adjusted_count"), "institution")).cast("long"))
+    return biology.summary(_biology(spark, d)["area"]).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("""WITH p AS (SELECT event_id, event_type, CASE event_id % 4 WHEN 0 THEN 'science' WHEN 1 THEN 'cell' ELSE 'other' END AS venue, CASE event_id % 11 WHEN 0 THEN '10.1126/science.' || event_id WHEN 1 THEN '10.1016/j.cell.' || event_id WHEN 2 THEN '10.1038/d' || event_id ELSE '10.1/x' END AS doi,
+ CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 13 END AS refs, CASE event_id % 6 WHEN 0 THEN 'e7' WHEN 1 THEN NULL WHEN 2 THEN '7.e1' ELSE '7' END AS a, CASE event_id % 7 WHEN 0 THEN '9' WHEN 1 THEN '10' WHEN 2 THEN '7.e1' WHEN 3 THEN NULL ELSE '7' END AS b FROM events),
+q AS (SELECT *, venue = 'science' OR contains(doi, '10.1126/science') AS sci, venue = 'cell' OR contains(doi, '10.1016/j.cell') AS cell, coalesce(refs = 0, false) AS none, coalesce(a, '') AS fa, coalesce(b, '') AS lb FROM p)
+SELECT event_id, CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN false WHEN regexp_matches(doi, '10\\.1038/d[0-9]+') THEN false WHEN sci AND none THEN false WHEN sci AND (starts_with(fa, 'e') OR starts_with(lb, 'e')) THEN true
+ WHEN sci AND regexp_full_match(fa, '[0-9]+') AND regexp_full_match(lb, '[0-9]+') AND TRY_CAST(lb AS INT) - TRY_CAST(fa AS INT) <= 2 AND (refs IS NULL OR refs < 10) THEN false
+ WHEN cell AND none THEN false WHEN cell AND fa <> '' AND fa = lb AND NOT ends_with(fa, '.e1') AND (refs IS NULL OR refs < 5) THEN false ELSE true END AS research FROM q""")
+def bio_research(spark, d):
+    """Made-up bibliographic fields that reach every branch of the article rule."""
+    e, i = load(spark, d, "events"), F.col("event_id")
+    pick = lambda m, *values: F.get(F.array(*(v if not isinstance(v, (str, type(None))) else F.lit(v).cast("string") for v in values)), (i % m).cast("int"))
+    other = F.lit("10.1/x")
+    doi = pick(11, F.concat(F.lit("10.1126/science."), i), F.concat(F.lit("10.1016/j.cell."), i), F.concat(F.lit("10.1038/d"), i), *[other] * 8)
+    kind = F.when((F.col("event_type") == "click") & (i % 3 == 0), "note").otherwise("article")
+    refs = F.when(i % 5 != 0, i % 13)
+    return e.select(i, biology.research_article(kind, doi, pick(4, "science", "cell", "other", "other"), refs, pick(6, "e7", None, "7.e1", "7", "7", "7"), pick(7, "9", "10", "7.e1", None, "7", "7", "7")).alias("research"))
 
 
 def _rank_sql(region: str = "1=1", kind: str = "1=1", first: int = YEARS[0], last: int = YEARS[1], facts: str = FACTS, k: int = len(AREAS)) -> str:
@@ -273,10 +362,18 @@ def year_extent(spark, d):
     return load(spark, d, "orders").agg(F.min(y).alias("first_year"), F.max(y).alias("last_year"))
 
 
-@query("""WITH t AS (SELECT s_suppkey, s_name, CASE WHEN ' ' || regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g') LIKE '% 00000001%' THEN 2 WHEN lower(s_name) LIKE '%00000001%' THEN 4 END AS tier FROM supplier)
-SELECT s_suppkey, s_name, tier FROM t WHERE tier IS NOT NULL AND tier <= (SELECT CASE WHEN min(tier) <= 3 THEN 3 ELSE 4 END FROM t)""")
+_TIERS = {"supplier#00000001": 2, "00000001": 4, "s": 1, "SUPPLIER#": 2, "one": 0}
+
+
+@query(" UNION ALL ".join([f"SELECT s_suppkey, '{q}' AS q, {t} AS tier FROM supplier WHERE contains(lower(s_name), '{q.lower()}')" for q, t in list(_TIERS.items())[:2]] + ["SELECT s_suppkey, 's', 1 FROM supplier", "SELECT s_suppkey, 'SUPPLIER#', 2 FROM supplier", "SELECT s_suppkey, 'one', 0 FROM supplier WHERE contains(lower(s_name), '00001')", "SELECT s_suppkey, '', 0 FROM supplier"]))
 def search_tiers(spark, d):
-    return ranking.search(load(spark, d, "supplier").select("s_suppkey", "s_name"), "00000001", "s_name")
+    """Prefix, substring, initials, case, an abbreviation, and the empty query."""
+    rows = load(spark, d, "supplier").select("s_suppkey", "s_name")
+    out = None
+    for q in [*_TIERS, ""]:
+        hit = ranking.search(rows, q, "s_name", {"one": "00001"}).select("s_suppkey", F.lit(q).alias("q"), "tier")
+        out = hit if out is None else out.unionByName(hit)
+    return out
 
 
 @query(f"""WITH {S}, {FACTS}, x AS (SELECT area, institution, year, pub_count AS p, round(adjusted_count, 4) AS a, row_number() OVER (PARTITION BY area ORDER BY round(adjusted_count, 4) DESC, institution, year) AS n FROM f)
@@ -292,17 +389,16 @@ def top_rows(spark, d):
 
 @query(f"WITH {S}, {INST}, {FACTS} SELECT area, institution, year, '{{\"i\":' || institution || ',\"n\":\"' || name || '\",\"y\":' || year || ',\"p\":' || pub_count || '}}' AS row FROM f JOIN inst USING (institution)")
 def json_serving(spark, d):
-    """Short JSON rows; credit is left out here, since engines print doubles differently."""
-    f = area_facts(spark, d).join(institutions(spark, d).select("institution", "name"), "institution")
-    return f.select("area", "institution", "year", F.to_json(F.struct(F.col("institution").alias("i"), F.col("name").alias("n"), F.col("year").alias("y"), F.col("pub_count").alias("p"))).alias("row"))
+    """Short JSON rows; credit is taken off them here, since engines print doubles differently."""
+    f = area_facts(spark, d).join(institutions(spark, d).select("institution", "name"), "institution").withColumn("key", F.col("institution")).withColumn("of", F.col("year"))
+    rows = serving_rows(f, keep=("key", "of"))
+    return rows.select("area", F.col("key").alias("institution"), F.col("of").alias("year"), F.regexp_replace("row", ',"a":[^}]*', "").alias("row"))
 
 
-@query(f"WITH {S}, {INST}, t AS (SELECT institution, name, country, sum(share) AS total FROM s JOIN inst USING (institution) GROUP BY ALL) SELECT institution, name || ',' || country || ',' || printf('%.4f', total) AS line FROM t")
+@query(_rank_sql().replace("SELECT institution, name, country, type, score, round(adj_total", "SELECT institution, max(CASE WHEN NOT same_up THEN pos END) OVER (ORDER BY pos) || ',' || name || ',' || country || ',' || printf('%.4f', score) || ',' || printf('%.4f', round(round(adj_total, 4), 1)) AS line FROM b --"))
 def export_rows(spark, d):
-    from ..functions.identity import csv_field
-
-    t = credited(spark, d).groupBy("institution").agg(F.sum("share").alias("total")).join(institutions(spark, d), "institution")
-    return t.select("institution", F.concat_ws(",", csv_field(F.col("name")), csv_field(F.col("country")), F.format_string("%.4f", "total")).alias("line"))
+    ranked = _ranked(spark, d, ranking.Selection(*YEARS, AREAS)).withColumn("total", F.round("adj_total", 1))
+    return ranked.select("institution", ranking_lines(ranked, ["total"]).alias("line"))
 
 
 @query("SELECT c_mktsegment AS area, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS venues FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")

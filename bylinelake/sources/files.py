@@ -105,9 +105,9 @@ def stale_affiliations(works: DataFrame, non_research: tuple[str, ...]) -> DataF
     return works.filter(F.col("id").rlike(r"(^|/)W\d+$") & (F.size("authorships") > 0) & empty & ~F.coalesce(F.lower("type"), F.lit("")).isin(*non_research))
 
 
-def serving_rows(facts: DataFrame, digits: int = 5) -> DataFrame:
-    """area and the short JSON row {i, n, y, p, a} of each fact."""
-    return facts.select("area", F.to_json(F.struct(F.col("institution").alias("i"), F.col("name").alias("n"), F.col("year").alias("y"), F.col("pub_count").alias("p"), F.round("adjusted_count", digits).alias("a"))).alias("row"))
+def serving_rows(facts: DataFrame, digits: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+    """area (and the columns of keep) and the short JSON row {i, n, y, p, a} of each fact."""
+    return facts.select("area", *keep, F.to_json(F.struct(F.col("institution").alias("i"), F.col("name").alias("n"), F.col("year").alias("y"), F.col("pub_count").alias("p"), F.round("adjusted_count", digits).alias("a"))).alias("row"))
 
 
 def write_serving(facts: DataFrame, path: str, areas: DataFrame) -> None:
@@ -127,14 +127,17 @@ def ranking_lines(ranked: DataFrame, areas: list[str]) -> Column:
     return F.concat_ws(",", F.col("rank").cast("string"), csv_field(F.col("name")), csv_field(F.coalesce("country", F.lit(""))), num(F.col("score")), *(num(F.col(a)) for a in areas))
 
 
-def write_lines(lines: DataFrame, column: str, path: str, header: str) -> None:
-    """Text with CRLF line ends; the header leads each part."""
-    lines.select(F.concat(F.col(column), F.lit("\r")).alias("value")).write.mode("overwrite").text(path)
-    lines.sparkSession.createDataFrame([(header + "\r",)], "value string").coalesce(1).write.mode("append").text(f"{path}-header")
+def write_lines(lines: DataFrame, column: str, path: str, header: str, order: list | None = None) -> None:
+    """Text with CRLF line ends in the given order; the parts in name order are one file, which the header leads."""
+    by = [c if isinstance(c, Column) else F.col(c) for c in order or []]
+    body = lines.select(F.lit(1).alias("__part"), F.struct(*by, F.col(column)).alias("__by"), F.col(column).alias("value"))
+    top = lines.sparkSession.range(1).select(F.lit(0).alias("__part"), F.lit(None).alias("__by"), F.lit(header).alias("value"))
+    body.unionByName(top).orderBy("__part", "__by").select("value").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def replace_path(spark: SparkSession, df: DataFrame, path: str, stamp: int | None = None) -> int:
-    """Write beside path and move into place; if a stamp (of an earlier call) is given, the path must not have changed.
+    """Write beside path, move the old aside and the new into place, then delete the old: no moment is without a whole copy.
+    If a stamp (of an earlier call) is given, the path must not have changed.
 
     Returns the new stamp.
     """
@@ -145,9 +148,16 @@ def replace_path(spark: SparkSession, df: DataFrame, path: str, stamp: int | Non
         raise RuntimeError(f"{path} was changed by another writer")
     beside = f"{path}-{uuid.uuid4().hex}"
     df.write.parquet(beside)
-    fs.delete(target, True)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path}-old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise RuntimeError(f"{path} could not be moved aside")
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(beside), target):
+        if had:
+            fs.rename(old, target)
         raise RuntimeError(f"{path} could not be replaced")
+    if had:
+        fs.delete(old, True)
     return fs.getFileStatus(target).getModificationTime()
 
 

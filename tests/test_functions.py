@@ -167,3 +167,68 @@ def test_title_prefixes_and_enrichment(spark):
     assert {r["k"]: r["byline"][0]["aff"] for r in merge.aligned_enrichment(base, fresh, "k", "byline", "coverage").collect()} == {1: "MIT", 2: "x"}
     assert one(spark, merge.container_matches(F.col("a"), F.lit("Proc. of X")), a=("Proc of X, Volume 3", "string")) is True
     assert one(spark, merge.strings_agree(F.col("a"), F.lit("University of Leeds, UK")), a=("Leeds Univ", "string")) is True
+
+
+def test_article_rule_branches(spark):
+    from bylinelake.operators import biology
+
+    rows = [  # kind, doi, venue, references, first, last, article
+        ("article", "d", "science", None, "10", "12", False), ("article", "d", "science", None, "10", "13", True), ("article", "d", "science", 10, "10", "11", True),
+        ("article", "10.1126/science.x", "y", 0, None, None, False), ("article", "d", "science", 5, "9", "e9", True), ("article", "d", "science", None, None, None, True),
+        ("article", "10.1016/J.CELL.x", "y", 4, "7", "7", False), ("article", "d", "cell", None, "7", "7", False), ("article", "d", "cell", 3, None, None, True),
+        ("article", "d", "cell", 3, "7.e1", "7.e1", True), ("peer-review", "d", "y", None, None, None, True), ("other", "d", "y", None, None, None, True), (None, "https://doi.org/10.1038/d1", "y", 9, "1", "9", False),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, k string, d string, v string, r int, a string, b string, x boolean")
+    got = df.select("i", "x", biology.research_article(*(F.col(c) for c in "kdvrab")).alias("y")).collect()
+    assert [r["i"] for r in got if r["x"] != r["y"]] == []
+
+
+def test_alias_cycles_of_any_length(spark):
+    from bylinelake.operators import credit
+
+    make = lambda pairs: spark.createDataFrame([(a, b, "") for a, b in pairs], "duplicate_id string, canonical_id string, canonical_name string")
+    for n in (1, 2, 3, 5):
+        with pytest.raises(ValueError, match="alias cycle"):
+            credit.alias_closure(make([(f"c{i}", f"c{(i + 1) % n}") for i in range(n)] + [("x", "y")]))
+    long = credit.alias_closure(make([(f"a{i}", f"a{i + 1}") for i in range(37)])).collect()
+    assert {r["canonical_id"] for r in long} == {"a37"} and len(long) == 37
+    assert credit.alias_closure(make([("x", "y")]).limit(0)).count() == 0
+
+
+def test_group_and_garbled_names(spark):
+    from bylinelake.functions import identity
+
+    names = ["The ATLAS Collaboration", "the big sky survey", "Project Manhattan", "A Study Group", "(anonymous)", "Steam Engine", "Ann Lee", "", None, "Ã¼ber", "caf&eacute;", "12 34", "Ω Ω", "x\x01y"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", identity.is_group_name(F.col("n")).alias("g"), identity.is_garbled(F.col("n")).alias("b")).orderBy("i").collect()
+    assert [r["i"] for r in df if r["g"]] == [0, 1, 3, 4]
+    assert [r["i"] for r in df if r["b"]] == [9, 10, 11, 13]
+
+
+def test_local_outliers_need_neighbours_and_size(spark):
+    of = lambda pairs, **k: {(r["year"], r["kind"]) for r in quality.local_outliers(spark.createDataFrame([("v", y, n) for y, n in pairs], "k string, year int, n int"), "k", "year", "n", **k).collect()}
+    assert of([(2016, 100), (2017, 100), (2018, 900)]) == set()  # two neighbours only
+    assert of([(y, 4) for y in range(2010, 2016)] + [(2016, 90)]) == set()  # a median under 20
+    assert of([(2010, 100), (2011, 100), (2012, 100), (2015, 400), (2019, 100)]) == {(2015, "spike")}  # beside is the next present year
+    done = [(y, 100) for y in range(2015, 2021)]
+    assert of([*done, (2021, 30)], last=2020) == set() and of([*done, (2021, 400)], last=2020) == {(2021, "spike")}
+
+
+def test_search_rules(spark):
+    from bylinelake.operators import ranking as rk
+
+    n = spark.createDataFrame([("Texas A&M University",), ("University of Washington",), ("Uwajima University",), ("Seattle Pacific",)], "name string")
+    got = lambda q: {r["name"]: r["tier"] for r in rk.search(n, q, aliases=rk.ABBREVIATIONS).collect()}
+    assert got("a&m") == {"Texas A&M University": 2}
+    assert got("uw") == {"University of Washington": 0}
+    assert got("  ") == {r["name"]: 0 for r in n.collect()}
+    assert got("tam") == {"Texas A&M University": 3} and got("jima") == {"Uwajima University": 4}
+
+
+def test_lines_and_replacement(spark, tmp_path):
+    lines = spark.createDataFrame([(2, "b,2"), (1, "a,1")], "rank int, line string")
+    files.write_lines(lines, "line", f"{tmp_path}/out", "name,n", ["rank"])
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*"))) == b"name,n\r\na,1\r\nb,2\r\n"
+    path = f"{tmp_path}/t"
+    files.replace_path(spark, spark.range(3), path)
+    files.replace_path(spark, spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir() if p.name.startswith("t-")] == []
