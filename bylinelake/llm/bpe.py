@@ -111,22 +111,24 @@ class WordBpe:
         """The ids of one word as the pattern cuts them."""
         got = self.parts.get(word)
         if got is None:
-            got = self.piece_bytes(word if word.isascii() else word.encode().decode("latin-1").translate(self.chars))
-            if len(word) <= self.long_word:
-                self.parts[word] = got
+            s = word if word.isascii() else word.encode().decode("latin-1").translate(self.chars)
+            if len(s) > self.long_word:
+                return self.join_leaves(s).tobytes()
+            got = self.remember(word, s)
+        return got
+
+    def remember(self, key: str, s: str) -> bytes:
+        if len(self.parts) > self.memo_words:
+            self.parts = {}
+        got = self.parts[key] = self.pack([t.id for t in self.model.tokenize(s)])
         return got
 
     def piece_bytes(self, s: str) -> bytes:
         """The ids of one word that is written in byte characters; long ones are joined from leaves."""
         if len(s) > self.long_word:
             return self.join_leaves(s).tobytes()
-        key = f"\0{s}"
-        got = self.parts.get(key)
-        if got is None:
-            if len(self.parts) > 2 * self.memo_words:
-                self.parts = {}
-            got = self.parts[key] = self.pack([t.id for t in self.model.tokenize(s)])
-        return got
+        key = f"\0{s}"  # no word has this character
+        return self.parts.get(key) or self.remember(key, s)
 
     def _runs(self, texts: list[tuple[str, bool]]) -> list[list[int]]:
         """Encode strings of byte characters as one batch each way; True: the string ends its word."""

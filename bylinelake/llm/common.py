@@ -39,7 +39,7 @@ def crc_bucket(id_col: str, mod: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % mod
 
 
-def batches(column, most: int = 1 << 20):
+def batches(column, most: int = 1 << 19):
     """Slices (start, stop) of an Arrow string column with at most `most` bytes of text each, one row at least."""
     import numpy as np
     import pyarrow as pa

@@ -550,7 +550,7 @@ def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, simi
                     got_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], names=["a", "b"])
 
-    with arrow_rows(spark, 200):  # rows with whole texts
+    with arrow_rows(spark, 50):  # rows with whole texts
         return written(spread.mapInArrow(run, "a long, b long"), "verified")
 
 
@@ -601,7 +601,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     Similarity is the Jaccard similarity of sets of `size`-word shingles, for all pairs: SimHash finds most, an exact join
     the rest. Rows with a null id always stay. Null texts and texts without words are copies of one another.
     """
-    with arrow_rows(docs.sparkSession, 500):  # rows with whole texts
+    with arrow_rows(docs.sparkSession, 100):  # rows with whole texts
         rows = written(set_rows(docs, size, id_col, text_col), "rows")
         by_set = rows.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("sign", "n", "sketch", "fine")))
         sets = written(by_set.withColumn("u", F.monotonically_increasing_id()), "sets")
