@@ -395,10 +395,11 @@ def json_serving(spark, d):
     return rows.select("area", F.col("key").alias("institution"), F.col("of").alias("year"), F.regexp_replace("row", ',"a":[^}]*', "").alias("row"))
 
 
-@query(_rank_sql().replace("SELECT institution, name, country, type, score, round(adj_total", "SELECT institution, max(CASE WHEN NOT same_up THEN pos END) OVER (ORDER BY pos) || ',' || name || ',' || country || ',' || printf('%.4f', score) || ',' || printf('%.4f', round(round(adj_total, 4), 1)) AS line FROM b --"))
+@query(_rank_sql().replace("SELECT institution, name, country, type, score, round(adj_total", "SELECT institution, max(CASE WHEN NOT same_up THEN pos END) OVER (ORDER BY pos) || ',' || name || ',' || country || ',' || printf('%.4f', floor(score * 10000 + 0.001) / 10000) || ',' || printf('%.4f', round(adj_total, 4)) AS line FROM b --"))
 def export_rows(spark, d):
-    ranked = _ranked(spark, d, ranking.Selection(*YEARS, AREAS)).withColumn("total", F.round("adj_total", 1))
-    return ranked.select("institution", ranking_lines(ranked, ["total"]).alias("line"))
+    # scores are cut to four places, since engines print ties differently
+    ranked = _ranked(spark, d, ranking.Selection(*YEARS, AREAS)).withColumn("score", F.floor(F.col("score") * 10000 + 0.001) / 10000)
+    return ranked.select("institution", ranking_lines(ranked, ["adj_total"]).alias("line"))
 
 
 @query("SELECT c_mktsegment AS area, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS venues FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
