@@ -175,7 +175,7 @@ def last_observed(spark, d):
     return last.join(rows.groupBy("institution").agg(F.min_by("author", F.struct("work", "author")).alias("first_author")), "institution")
 
 
-#: A line's two numbers and the order's comment stand for references and pages; the last row reaches every branch once.
+#: Suppliers with a negative balance are no universities; supplier 2 is rolled up into 1, and 4 is allowed all the same.
 BIO = """b AS (SELECT o_orderkey AS work, o_orderpriority AS venue, year(o_orderdate) AS year, l_suppkey AS inst, 1.0 / count(*) OVER (PARTITION BY o_orderkey) AS share FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 k AS (SELECT b.*, CASE WHEN inst = 2 THEN 1 ELSE inst END AS id FROM b JOIN supplier ON s_suppkey = inst WHERE s_acctbal >= 0 OR inst IN (2, 4)),
 va(venue, area) AS (VALUES ('1-URGENT', 'x'), ('1-URGENT', 'y'), ('2-HIGH', 'x')), g AS (SELECT 'I' || k.id AS id, coalesce(area, 'elite_bio') AS area, k.venue, year, share FROM k LEFT JOIN va USING (venue))"""
