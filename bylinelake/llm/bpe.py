@@ -21,6 +21,8 @@ import struct
 
 from pyspark.sql import DataFrame
 
+from .common import give_back, lean
+
 LONG_WORD = 32
 LEAF = 16
 MEMO_WORDS = 200_000
@@ -41,28 +43,17 @@ class WordBpe:
     def __init__(self, path: str, long_word: int = LONG_WORD, leaf: int = LEAF, memo_words: int = MEMO_WORDS):
         import numpy as np
         import regex
-        from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
+        spec = self._spec(path)
+        self.path = path
         self.long_word, self.leaf, self.memo_words = long_word, leaf, memo_words
         model, split = spec["model"], (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         self.markers = [t["content"] for t in spec["added_tokens"]]
         self.plain_layout = (spec["normalizer"] or {}).get("normalizers") == _NORMAL and split.get("type") == "Split" and split.get("invert") is True and model.get("end_of_word_suffix") == "</w>" and all("<|" in t for t in self.markers)
         self.words = regex.compile(split["pattern"]["Regex"]) if self.plain_layout else None
         size = max([*model["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1
-        self.tokens = [""] * size
-        for t, i in [*model["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]:
-            self.tokens[i] = t
-        self.token_bytes = [t.encode() for t in self.tokens]
-        self.plain_text = [t.removesuffix("</w>") for t in self.tokens]
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        lean = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None, "added_tokens": []}
-        self.whole = Tokenizer.from_str(json.dumps(lean))
-        self.inner = Tokenizer.from_str(json.dumps(lean | {"model": model | {"end_of_word_suffix": None}}))
+        self.whole = self._merges(spec, {})
         self.chars = {i: c for i, c in enumerate(byte_chars())}
         self.model, self.code = self.whole.model, "H" if self.dtype.itemsize == 2 else "I"
         self.memo: dict[str, bytes] = {}
@@ -70,6 +61,48 @@ class WordBpe:
         self.missed = 0
         self.unsplit = re.compile(r"\S{%d}" % (long_word // 4 + 1))  # a character has four bytes at most
 
+    @staticmethod
+    def _spec(path: str) -> dict:
+        with open(path, encoding="utf-8") as f:
+            return json.load(f)
+
+    @staticmethod
+    def _merges(spec: dict, changes: dict):
+        """The file's merge model alone, for text that is cut at blanks."""
+        from tokenizers import Tokenizer
+
+        lean = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None, "added_tokens": [], "model": spec["model"] | changes}
+        return Tokenizer.from_str(json.dumps(lean))
+
+    # What only some texts need is loaded when the first of them comes, since each copy of the vocabulary takes memory.
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(self.path)
+        whole.no_padding()
+        whole.no_truncation()
+        return whole
+
+    @functools.cached_property
+    def inner(self):
+        return self._merges(self._spec(self.path), {"end_of_word_suffix": None})
+
+    @functools.cached_property
+    def tokens(self) -> list[str]:
+        spec = self._spec(self.path)
+        by_id = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        return [by_id.get(i, "") for i in range(max(by_id) + 1)]
+
+    @functools.cached_property
+    def token_bytes(self) -> list[bytes]:
+        return [t.encode() for t in self.tokens]
+
+    @functools.cached_property
+    def plain_text(self) -> list[str]:
+        return [t.removesuffix("</w>") for t in self.tokens]
+
     def encode(self, text: str):
         """The ids of a whole text as an unsigned numpy array."""
         import numpy as np
@@ -177,7 +210,9 @@ class WordBpe:
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, long_word: int = LONG_WORD, leaf: int = LEAF) -> WordBpe:
     """One encoder a worker process, kept between tasks."""
-    return WordBpe(path, long_word, leaf)
+    made = WordBpe(path, long_word, leaf)
+    give_back()  # the parsed file is several times what is kept
+    return made
 
 
 OUTPUTS = {"n_tokens": "long", "ids": "binary", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -210,5 +245,5 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
             kinds = {"n_tokens": pa.int64(), "ids": pa.binary(), "decoded": pa.string(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(got[n], kinds[n]) for n in names)], names=["id", *names])
 
-    out = src.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} {OUTPUTS[n]}" for n in names))
+    out = src.mapInArrow(lean(run), f"id {kind}, " + ", ".join(f"{n} {OUTPUTS[n]}" for n in names))
     return out.withColumnRenamed("id", id_col)

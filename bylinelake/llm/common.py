@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
 
@@ -53,6 +55,28 @@ def batches(column, most: int = 1 << 19):
         start, base = stop, int(sizes[stop - 1])
 
 
+def lean(run):
+    """`run` for mapInArrow; when a task's part is done, its worker, which Spark keeps for later tasks, gives freed memory back."""
+
+    @functools.wraps(run)
+    def tidy(parts):
+        try:
+            yield from run(parts)
+        finally:
+            give_back()
+
+    return tidy
+
+
+def give_back() -> None:
+    """Hand memory that Arrow and the C library hold but don't use back to the system (the latter where glibc is there)."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextlib.contextmanager
 def arrow_rows(spark: SparkSession, most: int):
     """Smaller Arrow batches for jobs that run inside; the session's own setting comes back afterwards."""

@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, lean
 
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
@@ -84,7 +84,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             at = np.flatnonzero(n[:-1])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
-    sums = rows.filter(F.col("h") <= edge).select("lang", "text").mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = rows.filter(F.col("h") <= edge).select("lang", "text").mapInArrow(lean(run), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(sums["lang"].unique())
     counts = np.zeros((len(langs), 1 << bucket_bits))
     for i, x in enumerate(langs):
@@ -126,7 +126,7 @@ def predict(docs: DataFrame, model: tuple[list[str], object], id_col: str = "doc
                 best, score = classify(texts, langs, matrix, orders, bucket_bits)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), pa.array([langs[i] if i >= 0 else UNDETERMINED for i in best], pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(lean(run), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def keep_identified(docs: DataFrame, model: tuple[list[str], object], text_col: str = "text", accepted: list[str] | None = None, orders=ORDERS, bucket_bits: int = BUCKET_BITS) -> DataFrame:
@@ -146,4 +146,4 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], object], text_col:
                 best, _ = classify([t or "" for t in texts.slice(start, stop - start).to_pylist()], langs, matrix, orders, bucket_bits)
                 yield batch.slice(start, stop - start).filter(pa.array(good[best]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import batches, written
+from .common import batches, lean, written
 
 #: A cut list of at most this many rows is broadcast; a longer one is joined by shuffling.
 BROADCAST_ROWS = 100_000
@@ -127,7 +127,7 @@ def _cut_documents(docs: DataFrame, id_col: str, text_col: str, tokenizer: str,
                 kinds = (batch.schema.field("id").type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "start", "length", "crc", "doc_tokens", "pid", "bin", "rank", "ids"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, start long, length long, crc long, doc_tokens long, pid int, bin int, rank long, ids binary")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(lean(run), f"id {kind}, start long, length long, crc long, doc_tokens long, pid int, bin int, rank long, ids binary")
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1, resolution: int = 8, depth: int = 3, with_ids: bool = False) -> DataFrame:

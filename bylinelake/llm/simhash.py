@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, salted_lookup, written
+from .common import arrow_rows, lean, salted_lookup, written
 
 #: Runs of up to so many fingerprints are compared pairwise in one task.
 RUN = 4096
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, size: int, words: int = 1, id_col: str = "doc_
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words, dtype=np.int32)), flat)
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "fp"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, fp array<bigint>")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(lean(run), f"id {kind}, fp array<bigint>")
 
 
 def pigeonhole_masks(max_bits: int, shared: int = 3) -> list[int]:
@@ -185,7 +185,7 @@ def _link_runs(rows: DataFrame, words: int, max_bits: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words, dtype=np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, node[h]]), pa.int64()), pa.array([*b.tolist(), *[None] * len(h)], pa.int64()), lists, pa.array(np.concatenate([np.zeros(len(a), np.int64), mask[h]]), pa.int64())], names=["a", "b", "fp", "mask"])
 
-    return spread.mapInArrow(run, "a long, b long, fp array<bigint>, mask long")
+    return spread.mapInArrow(lean(run), "a long, b long, fp array<bigint>, mask long")
 
 
 def links_within(nodes: DataFrame, max_bits: int, shared: int = 3) -> DataFrame:
@@ -281,7 +281,7 @@ def set_rows(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists(digests, 2), pa.array(signs.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), lists(sketches, SKETCH), long], names=["id", "fp", "sign", "n", "sketch", "fine"])
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp array<bigint>, sign long, n long, sketch array<bigint>, fine array<bigint>")
+    return rows.mapInArrow(lean(run), f"id {kind}, fp array<bigint>, sign long, n long, sketch array<bigint>, fine array<bigint>")
 
 
 def parities(s, words: int):
@@ -317,7 +317,7 @@ def shared_prefixes(docs: DataFrame, n_docs: int, size: int, similarity: float,
             sets = [shingle_set(t.as_py() or "", size) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["key"])
 
-    sample = texts.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share).mapInArrow(every, "key long")
+    sample = texts.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share).mapInArrow(lean(every), "key long")
     top = sample.groupBy("key").count().filter("count >= 3").orderBy(F.desc("count"), "key").limit(100_000).toArrow()
     order = docs.sparkSession.sparkContext.broadcast([top.column(c).to_numpy().tobytes() for c in ("key", "count")])
 
@@ -357,8 +357,8 @@ def shared_prefixes(docs: DataFrame, n_docs: int, size: int, similarity: float,
             goes[0] &= not was
             yield pa.RecordBatch.from_arrays([pa.array(key[goes], pa.int64()), pa.array(name[goes], pa.int64())], names=["key", "name"])
 
-    rows = texts.mapInArrow(keys, "key long, name long")
-    return rows.repartition("key").sortWithinPartitions("key", "name").mapInArrow(shared, "key long, name long")
+    rows = texts.mapInArrow(lean(keys), "key long, name long")
+    return rows.repartition("key").sortWithinPartitions("key", "name").mapInArrow(lean(shared), "key long, name long")
 
 
 def _stars(rows: DataFrame, similarity: float) -> DataFrame:
@@ -387,7 +387,7 @@ def _stars(rows: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
 
     spread = rows.repartition("key").sortWithinPartitions("key", F.desc("hub"), "u")
-    return spread.mapInArrow(run, "a long, b long")
+    return spread.mapInArrow(lean(run), "a long, b long")
 
 
 def _may_be(n, m, differ, similarity: float):
@@ -429,7 +429,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
             last, label0, open_mixed = key[-1], first[-1], bool(mixed[-1])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_k), pa.int64()), pa.array(np.concatenate(got_u), pa.int64())], names=["key", "u"])
 
-    return rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(run, "key long, u long")
+    return rows.repartition("key").sortWithinPartitions("key", "label").mapInArrow(lean(run), "key long, u long")
 
 
 def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
@@ -482,7 +482,7 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
                         got = []
                         yield pa.RecordBatch.from_arrays([pa.array(two[:, 0], pa.int64()), pa.array(two[:, 1], pa.int64())], names=["a", "b"])
 
-    return rows.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2").mapInArrow(run, "a long, b long")
+    return rows.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2").mapInArrow(lean(run), "a long, b long")
 
 
 def may_be_similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -530,7 +530,7 @@ def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, simi
             yield pa.RecordBatch.from_arrays([batch.column("__id"), lists, batch.column("text")], names=["__id", "__fp", "text"])
 
     kind = dict(members.dtypes)["__id"]
-    read = texts.mapInArrow(digest, f"__id {kind}, __fp array<bigint>, text string")
+    read = texts.mapInArrow(lean(digest), f"__id {kind}, __fp array<bigint>, text string")
     placed = read.join(F.broadcast(members) if few else members, ["__id", "__fp"]).select("b", "part", "u", "text")
     rows = placed.withColumn("a", F.lit(None).cast("long")).unionByName(dealt.select("b", "part", F.col("b").alias("u"), F.lit(None).cast("string").alias("text"), "a"))
     spread = rows.repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
@@ -551,7 +551,7 @@ def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, size: int, simi
             yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], names=["a", "b"])
 
     with arrow_rows(spark, 50):  # rows with whole texts
-        return written(spread.mapInArrow(run, "a long, b long"), "verified")
+        return written(spread.mapInArrow(lean(run), "a long, b long"), "verified")
 
 
 def similar(s, t, similarity: float) -> bool:

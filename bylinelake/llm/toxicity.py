@@ -13,7 +13,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, lean
 
 BUCKET_BITS = 18
 #: The model is fitted on at most this many labelled rows, those of least xxhash64(id).
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
             at = np.flatnonzero(n[c])
             yield pa.RecordBatch.from_arrays([pa.array([c] * len(at), pa.int32()), pa.array(at), pa.array(n[c][at])], names=["y", "bucket", "n"])
 
-    sums = rows.mapInArrow(count, "y int, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = rows.mapInArrow(lean(count), "y int, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros((2, size))
     n[sums["y"].to_numpy(dtype=int), sums["bucket"].to_numpy(dtype=int)] = sums["n"].to_numpy()
     model = {"scores": np.zeros(size), "lam": 1.0, "k": 1.0, "a": 0.0, "b": 0.0, "bits": bucket_bits}
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
                 flat = [[s for _, _, s in segments(x)] for x in own]
                 yield pa.RecordBatch.from_arrays([batch.column("y").slice(start, stop - start), pa.array([len(x) for x in own], pa.int64()), pa.array(top, pa.float64()), pa.array(flat, pa.list_(pa.float64()))], names=["y", "n", "top", "all"])
 
-    seen = rows.mapInArrow(best, "y int, n long, top double, all array<double>").toPandas()  # one short row a training row
+    seen = rows.mapInArrow(lean(best), "y int, n long, top double, all array<double>").toPandas()  # one short row a training row
     null = seen[(seen["y"] == 0) & (seen["top"] > 0) & (seen["n"] > 0)]
     if len(null):
         model["k"] = float(np.log(2) / np.median(null["n"] * np.exp(-model["lam"] * null["top"])))
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 spans = [[{"start": a, "stop": b, "score": s} for a, b, s in x] for x in found]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), pa.array(p, pa.float64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())])))], names=["id", "score", "passages"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, score double, passages array<struct<start:int,stop:int,score:double>>").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(lean(run), f"id {kind}, score double, passages array<struct<start:int,stop:int,score:double>>").withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -203,4 +203,4 @@ def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text", threshold:
                 p, _ = _scored(texts.slice(start, stop - start).to_pylist(), shared.value)
                 yield batch.slice(start, stop - start).filter(pa.array(p < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
