@@ -9,40 +9,85 @@ from ..functions.identity import words_key
 
 #: Departments rank last among candidate segments. Fixed values.
 DEPARTMENT = r"(?i)\b(dept|department|school|faculty|division|section|college of)\b"
+POSTAL = r"^[\d][\d\s\-]*$|^[A-Z]{1,2}\d{1,2}[A-Z]?\s*\d?[A-Z]{0,2}$"
+COMPANY = r"(?i)[\s,]+\b(inc|ltd|co|corp|corporation|llc|gmbh|plc|pvt|pte|s\.?a|n\.?v|b\.?v|ag|k\.?k|s\.?r\.?l|s\.?p\.?a|limited)\b\.?,?\s*$"
+FUNCTION_WORDS = ("of", "the", "and", "for", "de", "da", "du", "la", "le", "der", "van", "von")
 STOP_WORDS = ("of", "the", "and", "for", "at", "in", "de", "la", "university", "institute")
 
 
-def candidates(raw: Column, most: int = 8) -> Column:
-    """Names that may stand in an affiliation string: bracketed parts, comma segments, parts around `and`/`&`, and runs of
-    two and three neighbouring segments; departments last, then longer ones first; at most `most`."""
+def candidates(raw: Column, most: int = 5, ignored: tuple[str, ...] = ()) -> Column:
+    """Names that may stand in an affiliation string: bracketed parts, then runs of two and three neighbouring comma segments,
+    the segments, and parts around `and`/`&`; in each of these kinds departments last and longer ones first; at most `most`.
+
+    Postal codes and what `ignored` lists in lower case (countries, say) are no names; company suffixes are cut off. A null
+    string gives null.
+    """
     text = F.regexp_replace(raw, r"\([^)]*\)", " ")
-    inside = F.regexp_extract_all(raw, F.lit(r"\(([^)]*)\)"), F.lit(1))
-    segs = F.filter(F.transform(F.split(text, r"[,;]"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: F.length(x) > 2)
-    halves = F.filter(F.flatten(F.transform(segs, lambda x: F.when(x.rlike(r"(?i)\s(and|&)\s"), F.split(x, r"(?i)\s(?:and|&)\s")).otherwise(F.array().cast("array<string>")))), lambda x: F.length(x) > 2)
+    tidy = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\s+", " "), COMPANY, ""))
+    named = lambda parts, least: F.filter(F.transform(parts, tidy), lambda x: (F.length(x) >= least) & ~x.rlike(POSTAL) & ~F.lower(x).isin(*ignored, ""))
+    none = F.array().cast("array<string>")
+    inside = named(F.regexp_extract_all(raw, F.lit(r"\(([^)]*)\)"), F.lit(1)), 2)
+    segs = named(F.split(text, "[,;]"), 3)
+    halves = named(F.flatten(F.transform(segs, lambda x: F.when(x.rlike(r"(?i)\s(and|&)\s"), F.split(x, r"(?i)\s(?:and|&)\s")).otherwise(none))), 3)
     run = lambda n: F.transform(F.when(F.size(segs) >= n, F.sequence(F.lit(1), F.size(segs) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.array_join(F.slice(segs, i, F.lit(n)), ", "))
-    every = F.array_distinct(F.concat(inside, segs, halves, run(2), run(3)))
-    clean = F.filter(every, lambda x: ~x.rlike(r"^[\d\s-]*$"))
-    keyed = F.array_sort(F.transform(clean, lambda x: F.struct(x.rlike(DEPARTMENT).alias("late"), (-F.length(x)).alias("size"), x.alias("name"))))
-    return F.slice(F.transform(keyed, lambda x: x["name"]), 1, most)
+    ranked = lambda parts: F.transform(F.array_sort(F.transform(parts, lambda x: F.struct(x.rlike(DEPARTMENT).alias("late"), (-F.length(x)).alias("size"), x.alias("name")))), lambda x: x["name"])
+    return F.slice(F.array_distinct(F.concat(inside, ranked(F.concat(run(2), run(3))), ranked(segs), ranked(halves))), 1, most)
+
 
+def acronym_like(name: Column) -> Column:
+    """One word of up to 12 characters with two letters or more, of which 60 % or more are capitals."""
+    letters, capitals = (F.length(F.regexp_replace(name, f"[^{kind}]", "")) for kind in (r"\p{L}", r"\p{Lu}"))
+    return ~name.contains(" ") & (F.length(name) <= 12) & (letters >= 2) & (capitals >= 0.6 * letters)
 
-def content_tokens(name: Column) -> Column:
-    return F.array_except(F.split(words_key(name), " "), F.array(*(F.lit(w) for w in (*STOP_WORDS, ""))))
+
+def content_tokens(name: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    return F.array_except(F.split(words_key(name), " "), F.array(*(F.lit(w) for w in (*stop, ""))))
 
 
 def resolve_tiers(raws: DataFrame, names: DataFrame, raw: str, least_ratio: float = 0.55) -> DataFrame:
-    """(raw, id, score, matched_via): exact name 1.0, then the name with most content tokens all found in the string.
+    """(raw, id, score, matched_via, candidate) a string that matches: the best of four tiers over its candidates.
+
+    names: id, name and, if there, acronyms (array). The tiers are the exact name (score 1), an acronym (1), a short candidate
+    that starts a name or the other way round, and a candidate of several words whose content words are all in the name and
+    least_ratio of those there; the latter two score 0.72 and 0.25 times the share covered. From 0.97 on the earliest
+    candidate wins, else the best score; then the earlier candidate, the tier in this order, and the smaller id.
 
-    names: id, name. Tiers are equi-joins on the normalised candidate and on tokens; ties go to the smaller id.
+    Each tier is a join by equality with one row a key: of the names that start alike the shortest is the best one, and a
+    candidate is looked up by its rarest word only. Null strings and names match nothing.
     """
-    options = raws.select(raw).distinct().select(raw, F.explode(candidates(F.col(raw))).alias("option"))
-    index = names.select("id", words_key(F.col("name")).alias("key"), content_tokens(F.col("name")).alias("tokens"))
-    exact = options.select(raw, words_key(F.col("option")).alias("key")).join(index.select("id", "key"), "key").select(raw, "id", F.lit(1.0).alias("score"), F.lit("exact").alias("matched_via"))
-    words = raws.select(raw).distinct().select(raw, F.explode(F.array_distinct(content_tokens(F.col(raw)))).alias("token"))
-    postings = index.select("id", F.size("tokens").alias("all"), F.explode(F.array_distinct("tokens")).alias("token"))
-    hits = words.join(postings, "token").groupBy(raw, "id").agg(F.count("*").alias("n"), F.max("all").alias("all"))
-    subset = hits.filter((F.col("n") / F.col("all") >= least_ratio) & (F.col("n") == F.col("all"))).select(raw, "id", (0.72 + 0.25 * F.col("n") / (F.col("n") + 1)).alias("score"), F.lit("tokens").alias("matched_via"))
-    best = exact.unionByName(subset).groupBy(raw).agg(F.max_by(F.struct("id", "score", "matched_via"), F.struct("score", -F.col("id"))).alias("m"))
+    options = raws.select(raw).distinct().select(raw, F.posexplode(candidates(F.col(raw))).alias("at", "candidate"))
+    options = options.withColumn("key", words_key(F.col("candidate"))).filter("key <> ''")
+    index = names.select("id", words_key(F.col("name")).alias("key"), F.array_distinct(content_tokens(F.col("name"), FUNCTION_WORDS)).alias("words")).filter("key <> ''")
+    of = lambda rows, via, score: rows.select(raw, "at", "candidate", "id", score.alias("score"), F.lit(via).alias("matched_via"))
+    covered = lambda part, whole: 0.72 + 0.25 * part / whole
+
+    by_name = index.groupBy("key").agg(F.min("id").alias("id"))
+    found = [of(options.join(by_name, "key"), "1 exact", F.lit(1.0))]
+    if "acronyms" in names.columns:
+        short = names.select("id", F.explode("acronyms").alias("a")).groupBy(F.upper("a").alias("short")).agg(F.min("id").alias("id"))
+        found.append(of(options.filter(acronym_like(F.col("candidate"))).withColumn("short", F.upper("candidate")).join(short, "short"), "2 acronym", F.lit(1.0)))
+
+    size = F.length("key")
+    brief = options.filter(size.between(3, 8))
+    starts = lambda least: F.explode(F.transform(F.sequence(F.lit(least), F.least(size, F.lit(8))), lambda n: F.substring("key", F.lit(1), n)))
+    begun = index.filter(size >= 5).select("id", size.alias("size"), starts(3).alias("key")).groupBy("key").agg(F.min_by(F.struct("id", "size"), F.struct("size", "id")).alias("n"))
+    found.append(of(brief.join(begun, "key").select("*", "n.id"), "3 prefix", covered(size, F.col("n.size"))))
+    longer = brief.filter(size >= 5).select(raw, "at", "candidate", size.alias("size"), starts(5).alias("key"))
+    found.append(of(longer.join(by_name, "key"), "3 prefix", covered(size, F.col("size"))))
+
+    several = options.filter(F.col("key").contains(" ")).withColumn("mine", F.array_distinct(content_tokens(F.col("candidate"), FUNCTION_WORDS))).filter(F.size("mine") > 0)
+    postings = index.select("id", "words", F.explode("words").alias("word"))
+    spread = postings.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = several.select(raw, "at", "candidate", "mine", F.explode("mine").alias("word")).join(spread, "word", "left")
+    rarest = rarest.groupBy(raw, "at", "candidate").agg(F.any_value("mine").alias("mine"), F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    within = rarest.join(postings, "word").filter((F.size("mine") >= least_ratio * F.size("words")) & (F.size(F.array_except("mine", "words")) == 0))
+    found.append(of(within, "4 tokens", covered(F.size("mine"), F.size("words"))))
+
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    order = F.struct(-F.least("score", F.lit(0.97)), "at", "matched_via", -F.col("score"), "id")
+    best = every.groupBy(raw).agg(F.min_by(F.struct("id", "score", F.substring("matched_via", 3, 9).alias("matched_via"), "candidate"), order).alias("m"))
     return best.select(raw, "m.*")
 
 

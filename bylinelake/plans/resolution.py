@@ -115,12 +115,27 @@ def jaccard_search(spark, d):
     return both.select("a", "b", F.round(F.col("c") / (F.col("na") + F.col("nb") - F.col("c")), 6).alias("score"))
 
 
-@query(f"""SELECT s.s_suppkey AS raw_id, t.s_suppkey AS id, 1.0::DOUBLE AS score, 'auto' AS status FROM supplier s JOIN supplier t ON {WORDS.format('s.s_name')} = {WORDS.format('t.s_name')}""")
+SPLIT = f"list_distinct(list_filter(string_split({WORDS.format('{0}')}, ' '), lambda w: w NOT IN ('of','the','and','for','de','da','du','la','le','der','van','von','')))"
+
+
+@query(f"""WITH n AS (SELECT n_nationkey AS id, 'zq' || chr(97 + n_nationkey) AS short, {WORDS.format("n_name || ' University of Marine Science'")} AS key, {SPLIT.format("n_name || ' University of Marine Science'")} AS words FROM nation),
+r AS (SELECT s_suppkey AS raw_id, s_suppkey % 4 AS kind, CASE s_suppkey % 4 WHEN 0 THEN n_name || ' University of Marine Science' WHEN 1 THEN 'ZQ' || chr(65 + n_nationkey) WHEN 2 THEN n_name ELSE 'Marine Science of ' || n_name END AS option FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+c AS (SELECT raw_id, kind, option, {WORDS.format('option')} AS key, {SPLIT.format('option')} AS words FROM r),
+m AS (SELECT raw_id, id, 1.0::DOUBLE AS score, 1 AS tier FROM c JOIN n USING (key) UNION ALL SELECT raw_id, id, 1.0, 2 FROM c JOIN n ON lower(option) = short
+UNION ALL SELECT raw_id, id, 0.72 + 0.25 * length(c.key) / length(n.key), 3 FROM c JOIN n ON starts_with(n.key, c.key) WHERE length(c.key) BETWEEN 3 AND 8
+UNION ALL SELECT raw_id, id, 0.72 + 0.25 * len(c.words) / len(n.words), 4 FROM c JOIN n ON len(list_intersect(c.words, n.words)) = len(c.words) AND len(c.words) >= 0.55 * len(n.words) WHERE contains(c.key, ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY raw_id ORDER BY least(score, 0.97) DESC, tier, score DESC, id) AS i FROM m)
+SELECT raw_id, id, round(score, 6) AS score, CASE tier WHEN 1 THEN 'exact' WHEN 2 THEN 'acronym' WHEN 3 THEN 'prefix' ELSE 'tokens' END AS matched_via, CASE WHEN score >= 0.9 THEN 'auto' ELSE 'review' END AS status FROM b WHERE i = 1""")
 def exact_match_tiers(spark, d):
-    s = load(spark, d, "supplier")
-    raws = s.select(F.col("s_suppkey").alias("raw_id"), F.concat(F.lit("Dept. X, "), F.col("s_name"), F.lit(", 12345")).alias("raw"))
-    found = resolve.resolve_tiers(raws, s.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), "raw")
-    return raws.join(found, "raw").select("raw_id", "id", "score", resolve.status_of(F.col("score")).alias("status"))
+    """Strings about a name, its acronym, its start and its words, with a department and a postal code around them."""
+    n = load(spark, d, "nation")
+    full, short = F.concat("n_name", F.lit(" University of Marine Science")), F.concat(F.lit("ZQ"), F.char(65 + F.col("n_nationkey")))
+    names = n.select(F.col("n_nationkey").alias("id"), full.alias("name"), F.array(short).alias("acronyms"))
+    kind = F.col("s_suppkey") % 4
+    text = F.when(kind == 0, F.concat(F.lit("Dept. X, "), full, F.lit(", 12345"))).when(kind == 1, F.concat(F.lit("Dept. X ("), short, F.lit(")"))).when(kind == 2, F.concat("n_name", F.lit(", 12345"))).otherwise(F.concat(F.lit("Marine Science of "), "n_name"))
+    raws = load(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("raw_id"), text.alias("raw"))
+    found = resolve.resolve_tiers(raws, names, "raw")
+    return raws.join(found, "raw").select("raw_id", "id", F.round("score", 6).alias("score"), "matched_via", resolve.status_of(F.col("score")).alias("status"))
 
 
 @query(f"""WITH n AS (SELECT p_partkey AS id, upper(array_to_string(list_transform(list_filter(string_split({WORDS.format('p_type')}, ' '), lambda w: w NOT IN ('', 'of', 'the', 'and', 'for')), lambda w: w[1]), '')) AS key FROM part)

@@ -63,6 +63,30 @@ def test_candidates_put_departments_last(spark):
     assert not got[0].startswith("Dept")
 
 
+def test_candidates_clean_up(spark):
+    got = one(spark, resolve.candidates(F.col("d"), ignored=("italy",)), d=("Dept. of X, Acme Labs Inc., 00100, Italy (AL)", "string"))
+    assert got == ["AL", "Dept. of X, Acme Labs", "Acme Labs", "Dept. of X"]
+    assert one(spark, resolve.candidates(F.col("d")), d=("", "string")) == []
+    assert one(spark, resolve.candidates(F.col("d")), d=(None, "string")) is None
+
+
+def test_resolve_tiers(spark):
+    texts = ["Stanford", "Tianjin", "Lab Y (KTH)", "KTH", "Royal Institute of Technology", "University of California", "Oslo", "Dept. of X, Oslo University", None, ""]
+    raws = spark.createDataFrame([(t,) for t in [*texts, "Oslo"]], "raw string")
+    names = [(1, "Stanford University", ["SU"]), (2, "KTH Royal Institute of Technology", ["KTH"]), (3, None, None), (4, "Tinbergen Institute", ["TI"]), (5, "Southern California University of Health Sciences", None), (6, "University Oslo", None), (7, "Oslo", None), (8, "Oslo", None)]
+    names = spark.createDataFrame(names, "id int, name string, acronyms array<string>")
+    got = {r["raw"]: (r["id"], round(r["score"], 4), r["matched_via"]) for r in resolve.resolve_tiers(raws, names, "raw").collect()}
+    assert got == {
+        "Stanford": (1, round(0.72 + 0.25 * 8 / 19, 4), "prefix"),
+        "Lab Y (KTH)": (2, 1.0, "acronym"),
+        "KTH": (2, 1.0, "acronym"),
+        "Royal Institute of Technology": (2, round(0.72 + 0.25 * 3 / 4, 4), "tokens"),
+        "Oslo": (7, 1.0, "exact"),
+        "Dept. of X, Oslo University": (6, 0.97, "tokens"),
+    }
+    assert not resolve.resolve_tiers(raws.limit(0), names, "raw").count() and not resolve.resolve_tiers(raws, names.limit(0).drop("acronyms"), "raw").count()
+
+
 def test_guard_and_replay(spark):
     rows = spark.createDataFrame([("a", "auto", 1), ("b", "auto", 2), ("c", "review", 3)], "raw string, status string, institution_id int")
     out = {r["raw"]: (r["status"], r["institution_id"], r["guard"]) for r in resolve.guard(rows, F.col("raw") == "b", F.lit(True), F.col("raw") == "a", F.when(F.col("raw") == "a", 9)).collect()}
