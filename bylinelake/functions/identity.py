@@ -99,13 +99,35 @@ def unescape(text):
     return text.map(one, na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def plain(text):
+    """HTML entities decoded once and combining marks dropped."""
+    import html
+    import unicodedata
+
+    def one(t):
+        return "".join(c for c in unicodedata.normalize("NFKD", html.unescape(t)) if not unicodedata.combining(c))
+
+    return text.map(one, na_action="ignore")
+
+
+def alnum_key(text: Column) -> Column:
+    """Letters and digits only, folded; null gives an empty string."""
+    return F.replace(F.coalesce(fold(text), F.lit("")), F.lit(" "), F.lit(""))
+
+
+def query_words(title: Column) -> Column:
+    """Words of a title for a search, entities decoded; null gives an empty string."""
+    return F.trim(F.regexp_replace(F.coalesce(unescape(title), F.lit("")), r"[^\p{L}\p{N}_]+", " "))
+
+
 #: Words of institution names and what they stand for. Fixed values.
 NAME_WORDS = {"univ": "university", "inst": "institute", "natl": "national", "acad": "academy", "lab": "laboratory", "labs": "laboratories"}
 
 
 def institution_words(name: Column) -> Column:
-    """Institution name for matching: & as and, no article, abbreviations spelled out."""
-    words = F.split(words_key(F.replace(name, F.lit("&"), F.lit(" and "))), " ")
+    """Institution name for matching: entities decoded, no marks, & as and, no article, abbreviations spelled out."""
+    words = F.split(words_key(F.replace(plain(name), F.lit("&"), F.lit(" and "))), " ")
     spelled = F.create_map(*(F.lit(x) for pair in NAME_WORDS.items() for x in pair))
     return F.array_join(F.transform(F.filter(words, lambda w: w != "the"), lambda w: F.coalesce(F.try_element_at(spelled, w), w)), " ")
 
@@ -131,9 +153,23 @@ def matches_prefix(doi: Column, prefixes: Column) -> Column:
     return F.exists(F.split(prefixes, r"\s*,\s*"), lambda p: (p != "") & norm_doi(doi).startswith(p))
 
 
+#: Phrases of venue names and their short forms, in this order; the first of each is shortened. Fixed values.
+VENUE_SHORT = (
+    (r"^Symposium on ", ""),
+    (r"^(.*?) / .*$", "$1"),
+    (r"^(.*?)Transactions on ", "$1Trans. "),
+    (r"^(.*?)Journal o[fn] ", "$1J. "),
+    (r"^(.*?)(?:Emerging and )?Selected (Topics|Areas) in ", "$1Sel. $2 "),
+    (r" of Integrated Circuits and Systems$", ""),
+)
+
+
 def short_venue(display: Column) -> Column:
-    """A trailing acronym in brackets, else the name."""
-    return F.coalesce(_null_if_empty(F.regexp_extract(display, r"\(([A-Z][A-Za-z0-9&-]+)\)\s*$", 1)), F.trim(display))
+    """What stands in brackets at the end, else the name with its usual phrases shortened."""
+    out = display
+    for pattern, short in VENUE_SHORT:
+        out = F.regexp_replace(out, pattern, short)
+    return F.coalesce(_null_if_empty(F.regexp_extract(display, r"\(([^()]+)\)\s*$", 1)), out)
 
 
 def guess_by_rules(name: Column, rules: list[tuple[str, str]]) -> Column:

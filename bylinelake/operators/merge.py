@@ -84,23 +84,28 @@ def positional_fill(ours: Column, theirs: Column, agree, empty) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])))
 def align(left, right):
-    """Longest common subsequence of two arrays of names: matched places, at most 250,000 cells (else none)."""
+    """Longest common subsequence of two bylines under `names.agreement`: matched places, at most 250,000 cells (else none).
+    Null bylines match nothing."""
+    import numpy as np
     import pandas as pd
 
+    from ..functions.names import agreement
+
     def one(x, y):
         x, y = list(x if x is not None else []), list(y if y is not None else [])
-        if len(x) * len(y) > 250_000:
+        if not x or not y or len(x) * len(y) > 250_000:
             return []
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        fits = agreement(x, y)
+        left_over = np.zeros((len(x) + 1, len(y) + 1), np.int32)  # length of the best alignment of what follows
         for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+            best = np.maximum(left_over[i + 1, :-1], np.where(fits[i], left_over[i + 1, 1:] + 1, 0))
+            left_over[i, :-1] = np.maximum.accumulate(best[::-1])[::-1]
         out, i, j = [], 0, 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j]:
+        while left_over[i, j]:
+            if fits[i, j] and left_over[i, j] == left_over[i + 1, j + 1] + 1:
                 out.append({"a": i, "b": j})
                 i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
+            elif left_over[i + 1, j] == left_over[i, j]:
                 i += 1
             else:
                 j += 1

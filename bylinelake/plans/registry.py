@@ -14,6 +14,8 @@ def query(sql: str | None = None, name: str | None = None):
     """Register a function of (spark, sf_dir), and the SQL that gives the same rows."""
 
     def add(f):
+        if (name or f.__name__) in QUERIES:
+            raise ValueError(f"query {name or f.__name__} is registered twice")
         QUERIES[name or f.__name__] = f
         if sql:
             SQL[name or f.__name__] = sql
