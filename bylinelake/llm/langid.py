@@ -31,21 +31,20 @@ def _letters():
 def grams(texts: list[str], orders=ORDERS, bucket_bits: int = BUCKET_BITS):
     """(buckets by order, starts, letters): bucket numbers a position, row pointers, and letters a text.
 
-    Position i of a text stands for the n-grams that begin there; those that are blank throughout get the dummy bucket.
+    Position i of a text stands for the n-grams that begin there, one blank before the text included; those that begin with two
+    blanks (or are one) get the dummy bucket. What a text gets does not depend on the others.
     """
     import numpy as np
 
-    cps = np.frombuffer(("\n".join(texts) + "\n").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    ends = np.flatnonzero(cps == 10)
-    if len(ends) != len(texts):  # texts hold line breaks of their own
-        cleaned = [t.replace("\n", " ") for t in texts]
-        cps = np.frombuffer(("\n".join(cleaned) + "\n").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        ends = np.flatnonzero(cps == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    lowered, gap = [t.lower() for t in texts], max(orders)
+    blank = "\n" * gap  # so wide that no n-gram reaches another text; its last place begins the next text
+    cps = np.frombuffer((blank + "".join(t + blank for t in lowered)).encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
+    starts = gap - 1 + np.cumsum(sizes + gap) - (sizes + gap)
     letter = _letters()[cps]
     c = np.where(letter, cps, 32).astype(np.uint64)
-    pad = np.concatenate([c, np.full(max(orders), 32, np.uint64)])
-    near = np.concatenate([letter, np.zeros(max(orders), bool)])
+    pad = np.concatenate([c, np.full(gap, 32, np.uint64)])
+    near = np.concatenate([letter, np.zeros(gap, bool)])
     dummy, out = 1 << bucket_bits, []
     for n in orders:
         h, real = np.zeros(len(c), np.uint64), np.zeros(len(c), bool)
@@ -59,7 +58,8 @@ def grams(texts: list[str], orders=ORDERS, bucket_bits: int = BUCKET_BITS):
 def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", orders=ORDERS, bucket_bits: int = BUCKET_BITS, train_rows: int = TRAIN_ROWS, smoothing: float = 0.5) -> tuple[list[str], object]:
     """(languages in order, log probabilities (languages, buckets + 1)) from rows that are usable and have a language.
 
-    Class priors are even. Without any labelled row there are no languages.
+    Class priors are even. Without any labelled row there are no languages. Rows that repeat an id at the edge of the sample are
+    all taken. The driver holds a row of buckets for each language among them.
     """
     import numpy as np
     import pyarrow as pa
@@ -95,7 +95,8 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
 
 
 def classify(texts: list[str], langs: list[str], matrix, orders=ORDERS, bucket_bits: int = BUCKET_BITS):
-    """(language index or -1, score) a text; -1 where a text has no letter or nothing was learned."""
+    """(language index or -1, score) a text; -1 where a text has no letter or nothing was learned. Of languages that score the
+    same the first in order wins."""
     import numpy as np
 
     buckets, starts, letters = grams(texts, orders, bucket_bits)

@@ -1,7 +1,7 @@
 """Corpus cleaning: language ID, toxicity, near-duplicates, personal values, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents. Stages are
-written as Parquet and read again by the next one.
+written as Parquet and read again by the next one. Further columns are carried along; an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score 0.7 or more; learns from the labels that op8_toxicity learns from."""
+    """Drops documents that score 0.7 or more; learns from the labels that op8_toxicity learns from. A null
+    text scores like an empty one; if labels of both classes are not there, every score is 0.5 and all documents stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)))
     return toxicity.drop_toxic(docs, model, threshold=0.7)
 
@@ -31,12 +32,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal values by pseudonyms and sets n_chars anew."""
+    """Replaces personal values by pseudonyms and sets n_chars anew; a null text stays null, with null n_chars."""
     return pii.pseudonymise(docs, PII_KEY).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all that is left into sequences of 2048 tokens; one row a piece."""
+    """Packs all that is left into sequences of 2048 tokens; one row a piece. A null or empty text is its end token alone."""
     return packing.pack(docs, tokenizer_file(), window=2048, end_id=1)
 
 
