@@ -90,7 +90,8 @@ def statistic(scores, lam: float, k: float) -> tuple[float, list[tuple[int, int,
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", bucket_bits: int = BUCKET_BITS, train_rows: int = TRAIN_ROWS, prior: float = 0.01, floor: float = 0.25, z: float = 2.6) -> dict:
     """Token scores, lambda, K and the logistic curve, from rows of labels that are usable and have a label and a text.
 
-    A document with several labels counts for each. Without rows of both classes every score is 0.5.
+    A document with several labels counts for each, and so does a repeated one. Without rows of both classes every score is
+    0.5. Labels are counted by rows, so train_rows bounds what is broadcast and what comes to the driver (three numbers a row).
     """
     import numpy as np
     import pyarrow as pa
@@ -129,26 +130,28 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     model |= {"scores": scores, "lam": lo}
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def best(parts):
-        m = shared.value
-        for batch in parts:
-            for start, stop in batches(batch.column("text")):
-                b, ptr = tokens(batch.column("text").slice(start, stop - start).to_pylist(), bucket_bits)
-                own = [m["scores"][b[ptr[i] : ptr[i + 1]]] for i in range(len(ptr) - 1)]
-                top = [max((s for _, _, s in segments(x)), default=0.0) for x in own]
-                flat = [[s for _, _, s in segments(x)] for x in own]
-                yield pa.RecordBatch.from_arrays([batch.column("y").slice(start, stop - start), pa.array([len(x) for x in own], pa.int64()), pa.array(top, pa.float64()), pa.array(flat, pa.list_(pa.float64()))], names=["y", "n", "top", "all"])
+    def each(kind: str, of):
+        """(y, value, n) a training row: one short row each, whatever the length of its text."""
+
+        def run(parts):
+            m = shared.value
+            for batch in parts:
+                for start, stop in batches(batch.column("text")):
+                    b, ptr = tokens(batch.column("text").slice(start, stop - start).to_pylist(), bucket_bits)
+                    own = [m["scores"][b[ptr[i] : ptr[i + 1]]] for i in range(len(ptr) - 1)]
+                    yield pa.RecordBatch.from_arrays([batch.column("y").slice(start, stop - start), pa.array([of(x) for x in own], pa.float64()), pa.array([len(x) for x in own], pa.int64())], names=["y", kind, "n"])
+
+        return rows.mapInArrow(lean(run), f"y int, {kind} double, n long").toPandas()
 
-    seen = rows.mapInArrow(lean(best), "y int, n long, top double, all array<double>").toPandas()  # one short row a training row
+    seen = each("top", lambda x: max((s for _, _, s in segments(x)), default=0.0))
     null = seen[(seen["y"] == 0) & (seen["top"] > 0) & (seen["n"] > 0)]
     if len(null):
         model["k"] = float(np.log(2) / np.median(null["n"] * np.exp(-model["lam"] * null["top"])))
         model["k"] = min(max(model["k"], 1e-6), 1e3)
-    x = []
-    for size_, found in zip(seen["n"], seen["all"]):
-        e = model["lam"] * np.asarray(found, float) - np.log(model["k"] * max(size_, 1))
-        x.append(e[e > 0].sum() if (e > 0).any() else max(e, default=-np.log(model["k"] * max(size_, 1))))
-    x, y, w = np.clip(np.array(x), -30, 30), (seen["y"].to_numpy() > 0).astype(float), np.zeros(2)
+    lam, k = model["lam"], model["k"]
+    seen = each("x", lambda x: statistic(x, lam, k)[0])
+    x = seen["x"].to_numpy()
+    x, y, w = np.clip(x, -30, 30), (seen["y"].to_numpy() > 0).astype(float), np.zeros(2)
     f = np.stack([np.ones_like(x), x], axis=1)
     for _ in range(50):  # Newton steps of a ridge logistic regression
         p = 1 / (1 + np.exp(-f @ w))
