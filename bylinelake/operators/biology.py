@@ -37,16 +37,16 @@ def credit(slots: DataFrame, venue_areas: DataFrame, rollup: DataFrame, allowed:
     """
     one = slots.withColumn("i", F.explode("institutions")).select("work", "venue", "year", "n_slots", "slot", "i.*")
     up = one.join(rollup, one["id"] == rollup["child"], "left")
-    up = up.withColumn("rolled", F.col("parent").isNotNull()).withColumn("name", F.coalesce("parent_name", "name")).withColumn("id", F.coalesce("parent", "id")).drop("child", "parent", "parent_name")
+    up = up.withColumn("rolled", F.col("parent").isNotNull()).withColumn("id", F.coalesce("parent", "id")).drop("child", "parent", "parent_name")
     if edu_only:
         listed = F.lit(False)
         if allowed is not None:
             up = up.join(allowed.select(F.col("id"), F.lit(True).alias("__ok")), "id", "left")
             listed = F.col("__ok").isNotNull()
         up = up.filter((F.col("type") == "education") | listed | F.col("rolled"))
-    kept = up.groupBy("work", "venue", "year", "n_slots", "slot", "id").agg(F.min("name").alias("name"))
-    each = kept.groupBy("work", "slot").agg(F.count("*").alias("__k"))
-    shares = kept.join(each, ["work", "slot"]).withColumn("share", F.lit(1.0) / F.col("n_slots") / F.col("__k"))
+    kept = up.select("work", "venue", "year", "n_slots", "slot", "id").distinct()
+    k = F.count("*").over(Window.partitionBy("work", "slot"))  # no join with a second run of the slots, which may number them anew
+    shares = kept.withColumn("share", F.lit(1.0) / F.col("n_slots") / k)
     areas = venue_areas.groupBy("venue").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "area"))), lambda x: x["area"]).alias("areas"))
     placed = shares.join(areas, "venue", "left").withColumn("areas", F.coalesce("areas", F.array(F.lit(default_area))))
     sums = lambda df, *by: df.groupBy(*by).agg(F.count("*").alias("pub_count"), F.round(F.sum("share"), 4).alias("adjusted_count"))
