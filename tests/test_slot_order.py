@@ -26,3 +26,8 @@ def biology_of(spark, slots):
 
 def test_biology_credit_keeps_renumbered_slots(spark, renumbered):
     assert sorted(map(tuple, biology_of(spark, renumbered)["area"].collect())) == [("I0", "x", 2020, 2, 0.5), ("I1", "x", 2020, 2, 0.5)]
+
+
+def test_biology_summary_keeps_renumbered_slots(spark, renumbered):
+    out = biology.summary(biology_of(spark, renumbered)["area"]).select("area", "id", "adjusted_count", "pub_count", "rank").collect()
+    assert sorted(map(tuple, out)) == [("x", "I0", 0.5, 2, 1), ("x", "I1", 0.5, 2, 2)]
